@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.functions import numbers, text, times
+from gridtally.functions import compute_once, numbers, text, times
 from gridtally.schemas import FUTURE_TOLERANCE_SECONDS
 
 
@@ -21,13 +21,14 @@ def typed_readings(readings: DataFrame, position: str | None = None) -> DataFram
         pos = F.shiftrightunsigned(F.xxhash64("value"), 1)
     else:
         pos = F.col(position)
-    return readings.select(
-        "building_id", "gate_id", "meter_id", "param_id",
-        F.trim("status").alias("status"),
-        times.parse_time(F.col("ts_str")).alias("reading_ts"),
-        numbers.parse_register(F.col("value")).alias("register"),
-        pos.cast("long").alias("pos"),
+    raw = readings.select(
+        "building_id", "gate_id", "meter_id", "param_id", F.trim("status").alias("status"),
+        pos.cast("long").alias("pos"), "value", "ts_str",
     )
+    return compute_once(raw, {
+        "reading_ts": times.parse_time(F.col("ts_str")),
+        "register": numbers.parse_register(F.col("value")),
+    }).drop("value", "ts_str")
 
 
 def clean_readings(
@@ -67,14 +68,13 @@ def clean_readings(
     )
 
 
-def is_storable(now: datetime | str | None) -> Column:
-    """The ingest test: parseable time that is not in the future, and a plain number."""
-    return times.is_valid_time(F.col("ts_str"), now) & numbers.is_valid_number(F.col("value"))
-
-
 def flag_quarantine(readings: DataFrame, now: datetime | str | None = None) -> DataFrame:
-    """Adds ``quarantined``; the two sides are filters over this one frame."""
-    return readings.withColumn("quarantined", ~is_storable(now))
+    """Adds ``quarantined``; the two sides are filters over this one frame.
+
+    A storable record has a parseable time that is not in the future and a plain number.
+    """
+    storable = times.is_valid_time(F.col("ts_str"), now) & numbers.is_valid_number(F.col("value"))
+    return compute_once(readings, {"quarantined": ~storable})
 
 
 def quarantine_split(

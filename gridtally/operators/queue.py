@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.functions import text, times
+from gridtally.functions import compute_once, text, times
 from gridtally.schemas import FUTURE_TOLERANCE_SECONDS, QUEUE_SCHEMA
 
 OWN, THIRD_PARTY, DONE = 0, 2, 3
@@ -26,9 +26,9 @@ def data_access_events(
     tolerance_seconds: int = FUTURE_TOLERANCE_SECONDS,
 ) -> DataFrame:
     """One row per collector and hour that any record with a valid time touched."""
-    ts = times.parse_time(F.col("ts_str"))
+    touched = readings.select("building_id", "gate_id", "ts_str")
     return (
-        readings.select("building_id", "gate_id", ts.alias("ts"))
+        compute_once(touched, {"ts": times.parse_time(F.col("ts_str"))})
         .where(F.col("building_id").isNotNull() & F.col("gate_id").isNotNull())
         .where(times.not_in_future(F.col("ts"), now, tolerance_seconds))
         .select(

@@ -40,7 +40,8 @@ def backfill(
     clean = clean_readings(readings, dims.item_type, now, position=position)
     amounts = hourly.with_limits(hourly.hour_firsts(clean), dims.limits)
     # Hour rows and state both read the amounts; a written table outlives lost executors.
-    tables.replace("amounts", amounts.withColumn("batch", F.lit(batch)), ["batch"])
+    tables.create()
+    tables.replace("amounts", amounts.withColumn("batch", F.lit(batch)))
     amounts = tables.read("amounts").where(F.col("batch") == batch).drop("batch")
     advance(tables, amounts, data_access_events(readings, now), batch)
     tables.refresh(dims, tables.touched_days(batch))

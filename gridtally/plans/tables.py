@@ -23,7 +23,7 @@ from gridtally.operators.virtual import virtual_hour
 from gridtally.schemas import (
     AMOUNT, HOUR_KEY, HOUR_SCHEMA, QUEUE_SCHEMA, STATE_SCHEMA, SUBENTRY_BUCKETS, TOTAL,
 )
-from gridtally.sources.tables import read_table, replace_partitions
+from gridtally.sources.tables import create_table, read_table, replace_partitions
 
 
 def _with(schema: T.StructType, *names_and_types: tuple[str, T.DataType]) -> T.StructType:
@@ -77,6 +77,18 @@ SCHEMAS = {
     "state": _with(STATE_SCHEMA, BATCH_PART),
 }
 
+PARTITIONS = {
+    "amounts": ["batch"],
+    "hour": ["day", "batch"],
+    "virtual_hour": ["day"],
+    "day": ["month", "day"],
+    "month": ["month"],
+    "subentry_hour": ["day"],
+    "subentry_day": ["day"],
+    "queue": ["day", "batch"],
+    "state": ["batch"],
+}
+
 
 class MeterTables:
     """The tables under one root folder."""
@@ -93,8 +105,14 @@ class MeterTables:
         rows = read_table(self.spark, self.path(name), SCHEMAS[name])
         return rows if days is None else rows.where(F.col("day").isin(list(days)))
 
-    def replace(self, name: str, rows: DataFrame, by: Sequence[str]) -> None:
-        replace_partitions(rows, self.path(name), by)
+    def create(self) -> MeterTables:
+        """Makes the tables that do not exist yet."""
+        for name, schema in SCHEMAS.items():
+            create_table(self.spark, self.path(name), schema, PARTITIONS[name])
+        return self
+
+    def replace(self, name: str, rows: DataFrame) -> None:
+        replace_partitions(rows, self.path(name), PARTITIONS[name])
 
     def hours(self, days: Sequence[date]) -> DataFrame:
         """Hour rows of some days, one per key: where a backfill wrote any, the last one wins.
@@ -109,19 +127,19 @@ class MeterTables:
 
     def write_hours(self, rows: DataFrame, batch: int) -> None:
         rows = rows.withColumn("day", F.to_date("date_time")).withColumn("batch", F.lit(batch))
-        self.replace("hour", rows, ["day", "batch"])
+        self.replace("hour", rows)
 
     def write_queue(self, rows: DataFrame, batch: int) -> None:
         """Queue rows under the day of the hour that their virtual rows belong to."""
         due = times.stamp_to_hour(F.col("timestamp")) - times.hours(1)
         rows = rows.withColumn("day", F.to_date(due)).withColumn("batch", F.lit(batch))
-        self.replace("queue", rows, ["day", "batch"])
+        self.replace("queue", rows)
 
     def state(self, batch: int) -> DataFrame:
         return self.read("state").where(F.col("batch") == batch).drop("batch")
 
     def write_state(self, rows: DataFrame, batch: int) -> None:
-        self.replace("state", rows.withColumn("batch", F.lit(batch)), ["batch"])
+        self.replace("state", rows.withColumn("batch", F.lit(batch)))
 
     def touched_days(self, batch: int) -> list[date]:
         """Days that got hour or queue rows in a batch: a handful, read from partition names."""
@@ -144,7 +162,7 @@ class MeterTables:
         virtual = virtual_hour(hours, dims.virtuals, dims.codes, queue)
         self._replace_days("virtual_hour", virtual, "date_time", days)
         every_hour = hours.unionByName(self.read("virtual_hour", days)).drop("day")
-        self._replace_days("day", day_rollup(every_hour), "date_time", days, month=True)
+        self._replace_days("day", day_rollup(every_hour), "date_time", days)
         self._replace_days(
             "subentry_hour", subentry_hour(every_hour, dims.subentries), "data_time", days
         )
@@ -153,14 +171,10 @@ class MeterTables:
         months = sorted({d.replace(day=1) for d in days})
         day_rows = self.read("day").where(F.col("month").isin(months)).drop("day", "month")
         month_rows = month_rollup(day_rows).withColumn("month", F.to_date("date_time"))
-        self.replace("month", month_rows, ["month"])
+        self.replace("month", month_rows)
 
-    def _replace_days(
-        self, name: str, rows: DataFrame, time: str, days: Sequence[date], month: bool = False
-    ) -> None:
+    def _replace_days(self, name: str, rows: DataFrame, time: str, days: Sequence[date]) -> None:
         rows = rows.withColumn("day", F.to_date(time)).where(F.col("day").isin(list(days)))
-        by = ["day"]
-        if month:
+        if "month" in PARTITIONS[name]:
             rows = rows.withColumn("month", F.to_date(F.date_trunc("month", time)))
-            by = ["month", "day"]
-        self.replace(name, rows, by)
+        self.replace(name, rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.functions import text, times
@@ -28,20 +28,22 @@ def encode_readings(readings: DataFrame, name: str = "value") -> DataFrame:
     return readings.select(*kept, record.alias(name))
 
 
-def _between(ts: Column, start: str, end: str) -> Column:
-    return (ts >= times.parse_time(F.lit(start))) & (ts < times.parse_time(F.lit(end)))
-
-
 def history_range_scan(history: DataFrame, start: str, end: str) -> DataFrame:
     """Readings in ``[start, end)``.
 
-    A history table stored by ``day`` is pruned to the days of the range before the
-    times of its rows are parsed.
+    A history table stored by ``day`` is pruned to the days of the range, and only on its
+    first and last day are the times of the rows looked at.
     """
+    since, until = (times.parse_time(F.lit(t)) for t in (start, end))
+    ts = times.parse_time(F.col("ts_str"))
+    inside = (ts >= since) & (ts < until)
     if "day" in history.columns:
-        first, last = (F.to_date(times.parse_time(F.lit(t))) for t in (start, end))
-        history = history.where(F.col("day").between(first, last))
-    return history.where(_between(times.parse_time(F.col("ts_str")), start, end))
+        first, last = F.to_date(since), F.to_date(until)
+        day = F.col("day")
+        return history.where(day.between(first, last)).where(
+            ((day > first) & (day < last)) | inside
+        )
+    return history.where(inside)
 
 
 def with_day(readings: DataFrame) -> DataFrame:

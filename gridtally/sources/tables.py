@@ -7,7 +7,6 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,13 +78,13 @@ def row_count(table: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, empty when it has not been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def create_table(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str]) -> None:
+    """Makes an empty partitioned table unless there is one already."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy(*by).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:

@@ -54,6 +54,7 @@ def start_live(
     refresh: bool = True,
 ) -> StreamingQuery:
     """Runs ``process_batch`` on every micro-batch of a record stream (column ``value``)."""
+    MeterTables(records.sparkSession, root).create()
 
     def process(df: DataFrame, batch: int) -> None:
         tables = MeterTables(df.sparkSession, root)

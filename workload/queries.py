@@ -13,7 +13,7 @@ from gridtally.operators import (
 )
 from gridtally.operators import queue as work_queue
 from gridtally.plans.backfill import backfill
-from gridtally.plans.tables import MeterTables
+from gridtally.plans.tables import BACKFILL, MeterTables
 from gridtally.schemas import READING_FIELDS, SUBENTRY_BUCKETS, as_double
 from gridtally.sources import readings as sources
 from gridtally.sources import tables
@@ -715,12 +715,13 @@ def pipeline_live(spark, sf):
 
 @query
 def pipeline_backfill(spark, sf):
-    from gridtally.plans.tables import BACKFILL
-
-    stored = MeterTables(spark, scratch(spark, "backfill"))
-    history = sources.with_day(views.readings(spark, sf))
+    """Stores the history by day, then recomputes everything from it."""
+    root = scratch(spark, "backfill")
+    stored = MeterTables(spark, f"{root}/tables")
+    good, _ = clean.quarantine_split(views.readings(spark, sf), P.NOW)
+    tables.replace_partitions(sources.with_day(good), f"{root}/history", ["day"])
     backfill(
-        stored, history, views.meter_dimensions(spark, sf),
+        stored, spark.read.parquet(f"{root}/history"), views.meter_dimensions(spark, sf),
         "2024-01-01 00:00:00", P.NOW, P.NOW, position="event_id",
     )
     return _all_tables(stored, BACKFILL)
