@@ -11,7 +11,7 @@ from gridtally.functions.times import is_valid_range
 from gridtally.operators import hourly
 from gridtally.operators.clean import clean_readings
 from gridtally.operators.dims import Dimensions
-from gridtally.operators.queue import data_access_events
+from gridtally.operators.queue import data_access_events, events_of_hour_rows
 from gridtally.plans.tables import BACKFILL, MeterTables
 from gridtally.sources.readings import history_range_scan
 
@@ -25,6 +25,7 @@ def backfill(
     now: datetime | str | None = None,
     position: str | None = None,
     step: int = 0,
+    queue_from: str = "readings",
 ) -> None:
     """Computes every result table for the readings in ``[start, end)``.
 
@@ -32,6 +33,9 @@ def backfill(
     that step ``n - 1`` left and owns its own partitions of the hour, queue and state
     tables, so a long range can be cut into steps, and a step that failed is simply run
     again. States of a backfill are apart from those of the live job.
+
+    Virtual items are computed for the collectors and hours that any reading touched, or
+    with ``queue_from="hour_rows"`` only where an own meter got an hour row.
     """
     if not is_valid_range(start, end):
         raise ValueError(f"not a time range: {start} to {end}")
@@ -43,14 +47,21 @@ def backfill(
     tables.create()
     tables.replace("amounts", amounts.withColumn("batch", F.lit(batch)))
     amounts = tables.read("amounts").where(F.col("batch") == batch).drop("batch")
-    advance(tables, amounts, data_access_events(readings, now), batch)
+    if queue_from == "hour_rows":
+        queue = events_of_hour_rows(emitted(tables, amounts, batch))
+    else:
+        queue = data_access_events(readings, now)
+    advance(tables, amounts, queue, batch)
     tables.refresh(dims, tables.touched_days(batch))
 
 
+def emitted(tables: MeterTables, amounts: DataFrame, batch: int) -> DataFrame:
+    """Hour rows of one batch, continuing from the state of the batch before."""
+    return hourly.consecutive_hours(hourly.seed_with_state(amounts, tables.state(batch - 1)))
+
+
 def advance(tables: MeterTables, amounts: DataFrame, queue: DataFrame, batch: int) -> None:
     """Hour, state and queue rows of one batch, from the state of the batch before."""
-    before = tables.state(batch - 1)
-    rows = hourly.consecutive_hours(hourly.seed_with_state(amounts, before))
-    tables.write_hours(rows, batch)
-    tables.write_state(hourly.last_known(amounts, before), batch)
+    tables.write_hours(emitted(tables, amounts, batch), batch)
+    tables.write_state(hourly.last_known(amounts, tables.state(batch - 1)), batch)
     tables.write_queue(queue, batch)

@@ -36,8 +36,12 @@ def timed_readings(
     position: str | None = None,
     delay: str | None = None,
 ) -> DataFrame:
-    """``clean_readings`` for a stream: the watermark moves with every record whose time is
-    valid, also one that is dropped later for its status or medium."""
+    """``clean_readings`` for a stream.
+
+    The watermark moves with every record whose time is valid, also one that is dropped
+    later for its status or medium. Each batch reports how many readings it kept as the
+    observed metric ``clean_readings``; Spark itself reports those behind the watermark.
+    """
     rows = typed_readings(readings, position).where(
         times.not_in_future(F.col("reading_ts"), now, tolerance_seconds)
     )
@@ -53,6 +57,7 @@ def timed_readings(
         .withColumn("item_name", name)
         .where(F.col("item_name").isNotNull())
         .join(media, "param_id")
+        .observe("clean_readings", F.count(F.lit(1)).alias("rows"))
     )
 
 

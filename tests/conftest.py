@@ -12,4 +12,5 @@ from workload.session import local_session  # noqa: E402
 def spark():
     session = local_session(8)
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
     yield session

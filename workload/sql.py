@@ -86,7 +86,7 @@ def _subentry_hour(rows: str) -> str:
         WHERE h.error = 0 AND h.type = 'A' GROUP BY 1, h.date_time"""
 
 
-def _virtual(hours: str) -> str:
+def _virtual(hours: str, due: str = "due") -> str:
     """The workload's formulas written out; missing inputs are 0.
 
     A bare number in a formula is an item id, so the ``( 2 )`` of V1 is a missing input.
@@ -108,7 +108,7 @@ def _virtual(hours: str) -> str:
                CASE WHEN {v} > 0 THEN {v} ELSE 0 END AS value, {r} AS real_value, {q} AS rate,
                CAST(CASE WHEN {v} >= 0 AND {v} <= {top} THEN 0 ELSE 2 END AS INTEGER) AS error,
                '{basic}' AS type
-        FROM ({source}) i JOIN due_b0_g0 d ON i.date_time = d.date_time"""
+        FROM ({source}) i JOIN {due} d ON i.date_time = d.date_time"""
 
     def over(template: str) -> list[str]:
         return ["(" + template.format(a=f"{m}_a", b=f"{m}_b") + ")" for m in ("value", "real_value", "rate")]
@@ -121,6 +121,25 @@ def _virtual(hours: str) -> str:
     ])
 
 
+def _due(readings: str) -> str:
+    """Hours for which the virtual items of the first collector are due."""
+    return f"""
+        SELECT DISTINCT date_trunc('hour', reading_ts) - INTERVAL 1 HOUR AS date_time
+        FROM typed WHERE building_id = 'B0' AND gate_id = 'G0' AND {readings}"""
+
+
+def _derived(prefix: str, virtual_rows: str) -> dict[str, str]:
+    """Tables over own and virtual hour rows."""
+    rows = f"{prefix}_hourly"
+    return {
+        rows: f"SELECT * FROM hourly UNION ALL SELECT * FROM {virtual_rows}",
+        f"{prefix}_day": _rollup(rows, "day"),
+        f"{prefix}_month": _rollup(f"{prefix}_day", "month"),
+        f"{prefix}_subentry": _subentry_hour(rows),
+    }
+
+
+STORABLE = f"(coalesce(reading_ts <= TIMESTAMP '{P.NOW}', FALSE) AND register IS NOT NULL)"
 SEED_AMOUNTS = _amounts(f"(SELECT * FROM clean WHERE reading_ts < TIMESTAMP '{P.SPLIT}') c")
 
 VIEWS = {
@@ -209,15 +228,14 @@ VIEWS = {
               LEFT JOIN subentries s ON h.item_name = s.item_name
               WHERE h.type = 'A') c
         GROUP BY building_code, data_time""",
-    "due_b0_g0": """
-        SELECT DISTINCT strptime("timestamp" || '0000', '%Y%m%d%H%M%S') - INTERVAL 1 HOUR AS date_time
-        FROM own_queue WHERE build_code = 'B0' AND collector_code = 'G0'""",
+    "due": _due("reading_ts <= TIMESTAMP '%s' + INTERVAL 1 HOUR" % P.NOW),
+    # A backfill sees the stored history only, which has no quarantined records.
+    "history_due": _due(STORABLE),
     "virtual_hourly": _virtual("hourly"),
     "early_virtual": _virtual("(SELECT * FROM hourly WHERE split_part(item_name, '_', 1) = 'B0')"),
-    "all_hourly": "SELECT * FROM hourly UNION ALL SELECT * FROM virtual_hourly",
-    "all_day": _rollup("all_hourly", "day"),
-    "all_month": _rollup("all_day", "month"),
-    "all_subentry": _subentry_hour("all_hourly"),
+    "history_virtual": _virtual("hourly", "history_due"),
+    **_derived("all", "virtual_hourly"),
+    **_derived("history", "history_virtual"),
     "seeds": f"""
         SELECT item_name, type_id, max(hour) AS seed_hour FROM ({SEED_AMOUNTS}) s GROUP BY 1, 2""",
     # The catalogue: nations, suppliers and the parts each supplies.
@@ -241,7 +259,6 @@ HOUR = f"item_name, type_id, date_time, {_double('value', 'real_value', 'rate')}
 DAY = HOUR + ", CAST(0 AS DOUBLE) AS work_time_value, CAST(0 AS DOUBLE) AS other_time_value"
 SUBENTRY = f"building_code, {_double(*BUCKETS, 'rate')}, data_time"
 READING = "building_id, gate_id, meter_id, param_id, type, name, status, value, unit, ts_str"
-STORABLE = f"(coalesce(reading_ts <= TIMESTAMP '{P.NOW}', FALSE) AND register IS NOT NULL)"
 
 _ANCHORS = {
     "current_minute": "date_trunc('minute', ts)",
@@ -279,7 +296,7 @@ def _stored_type(column: str) -> str:
     return f"CASE {column} {cases} ELSE upper({column}) END"
 
 
-def _pipeline() -> str:
+def _pipeline(prefix: str) -> str:
     def energy(name: str, rows: str) -> str:
         return f"""SELECT '{name}' AS table_name, item_name AS code, CAST(type_id AS VARCHAR) AS part,
                    date_time, {_double('value')}, {_double('real_value')}, error FROM {rows} r"""
@@ -292,13 +309,14 @@ def _pipeline() -> str:
         )
 
     day_buckets = f"""(SELECT building_code, {SUM_BUCKETS}, date_trunc('day', data_time) AS data_time
-                       FROM all_subentry GROUP BY building_code, date_trunc('day', data_time))"""
+                       FROM {prefix}_subentry GROUP BY building_code, date_trunc('day', data_time))"""
     state = f"""SELECT 'state', item_name, CAST(type_id AS VARCHAR), max(hour),
                 CAST(CAST(arg_max(amount, hour) AS DECIMAL(18,4)) AS DOUBLE), CAST(0 AS DOUBLE),
                 CAST(0 AS INTEGER) FROM amounts GROUP BY item_name, type_id"""
     return " UNION ALL ".join([
-        energy("hour", "all_hourly"), energy("day", "all_day"), energy("month", "all_month"),
-        buckets("subentry_hour", "all_subentry"), buckets("subentry_day", day_buckets), state,
+        energy("hour", f"{prefix}_hourly"), energy("day", f"{prefix}_day"),
+        energy("month", f"{prefix}_month"), buckets("subentry_hour", f"{prefix}_subentry"),
+        buckets("subentry_day", day_buckets), state,
     ])
 
 
@@ -467,8 +485,8 @@ _QUERIES = {
     "stream_ingest": f"SELECT {READING}, NOT {STORABLE} AS quarantined FROM typed",
     "stream_hourly": f"SELECT {HOUR} FROM hourly",
     "stream_hourly_fold": f"SELECT {HOUR} FROM hourly",
-    "pipeline_live": _pipeline(),
-    "pipeline_backfill": _pipeline(),
+    "pipeline_live": _pipeline("all"),
+    "pipeline_backfill": _pipeline("history"),
 }
 
 
