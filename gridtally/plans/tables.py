@@ -106,9 +106,8 @@ class MeterTables:
         return rows if days is None else rows.where(F.col("day").isin(list(days)))
 
     def create(self) -> MeterTables:
-        """Makes the tables that do not exist yet."""
-        for name, schema in SCHEMAS.items():
-            create_table(self.spark, self.path(name), schema, PARTITIONS[name])
+        """Makes the state table, the only one a job reads before it has written it."""
+        create_table(self.spark, self.path("state"), SCHEMAS["state"], PARTITIONS["state"])
         return self
 
     def replace(self, name: str, rows: DataFrame) -> None:

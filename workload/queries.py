@@ -557,7 +557,7 @@ def schema_from_spec(spark, sf):
 
 # --- streams and jobs
 
-ARRIVALS = ("2024-01-08 09:20:00", P.SPLIT)  # where the record stream is cut into arrivals
+ARRIVALS = (P.SPLIT,)  # where, inside an hour, the record stream is cut into arrivals
 
 
 def _arrive(spark: SparkSession, sf: str, folder: str, n: int) -> None:

@@ -19,6 +19,8 @@ def local_session(cpus: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # The test tables are a few megabytes; without this they end up in one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
 

@@ -49,8 +49,20 @@ def _medium_code():
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw readings, ten text fields and ``event_id`` as arrival position."""
+    k = F.col("k")
     series = ["x", "event_type", "minute"]
     e = events(spark, sf_dir).withColumn("minute", F.date_trunc("minute", "ts"))
+    # Made once and before the shuffle, so that later filters see plain columns.
+    texts = compute_once(e, {
+        "building_id": F.concat(F.lit("B"), F.col("user_id") % 5),
+        "gate_id": F.concat(F.lit("G"), F.col("user_id") % 2),
+        "meter_id": F.concat(F.lit("M"), F.col("x")),
+        "param_id": _medium_code(),
+        "status": F.when(k % 10 == 0, "1").otherwise("0"),
+        "ts_str": F.when(k == 37, "20171009131B00").when(k == 47, F.lit(None))
+        .when(k % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format("ts", "yyyyMMddHHmmss")),
+    }).drop("user_id")
     earlier_minutes = (
         Window.partitionBy("x", "event_type").orderBy("minute")
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -63,27 +75,16 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     total = (F.col("start") + F.sum("d").over(in_minute)).cast("decimal(28,2)")
-    registers = e.join(starts, series).withColumn("total", total)
+    registers = texts.join(starts, series).withColumn("total", total)
     register = F.when(F.col("event_type") == "view", F.col("d").cast("decimal(28,2)")).otherwise(
         F.col("total")
     )
-    k = F.col("k")
-    # Made once, so that later filters see plain columns as in a stored table.
-    return compute_once(registers, {
-        "building_id": F.concat(F.lit("B"), F.col("user_id") % 5),
-        "gate_id": F.concat(F.lit("G"), F.col("user_id") % 2),
-        "meter_id": F.concat(F.lit("M"), F.col("x")),
-        "param_id": _medium_code(),
-        "type": F.lit("01"),
-        "name": F.lit(None).cast("string"),
-        "status": F.when(k % 10 == 0, "1").otherwise("0"),
-        "value": F.when(k == 7, "48,892.60").when(k == 17, F.lit(None)).when(k == 27, "NaN")
-        .otherwise(register.cast("string")),
-        "unit": F.lit("kWh"),
-        "ts_str": F.when(k == 37, "20171009131B00").when(k == 47, F.lit(None))
-        .when(k % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-        .otherwise(F.date_format("ts", "yyyyMMddHHmmss")),
-    }).select("event_id", *READING_FIELDS)
+    return registers.select(
+        "*", F.lit("01").alias("type"), F.lit(None).cast("string").alias("name"),
+        F.lit("kWh").alias("unit"),
+        F.when(k == 7, "48,892.60").when(k == 17, F.lit(None)).when(k == 27, "NaN")
+        .otherwise(register.cast("string")).alias("value"),
+    ).select("event_id", *READING_FIELDS)
 
 
 def meter_dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
