@@ -43,13 +43,13 @@ def _counts(text: str) -> tuple[list[str], int, int, int]:
 
 def _repeats(texts: list[list[str]]) -> list[tuple[int, int, int]]:
     """Per text: words in repeated windows, words in long repeats, the longest repeat."""
-    numbers: dict[str, int] = {}
-    ids, ends, at = [], [], 0
+    ids, ends, used = [], [], 0
     for words in texts:
-        ids.extend([numbers.setdefault(w, len(numbers)) for w in words])
-        at += len(words) + 1
-        ends.append(at)
-        ids.append(-len(ends))  # an end of its own keeps texts apart
+        numbers: dict[str, int] = {}  # of its own, so nothing repeats across texts
+        ids.extend([numbers.setdefault(w, used + len(numbers)) for w in words])
+        used += len(numbers)
+        ids.append(-1 - len(ends))
+        ends.append(len(ids))
     best = suffixes.longest_repeats(np.array(ids, np.int64))
     in_window = np.cumsum(np.append(0, suffixes.covered_by_windows(best, WINDOW)))
     in_repeat = np.cumsum(np.append(0, suffixes.covered(best, REPEAT_WORDS)))
