@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import mixing, quality
+from gridtally.llm import mixing, packing, quality, shards
+from gridtally.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -37,3 +38,29 @@ def op9_suffix_quality(spark, sf):
             "kept", "n_covered_words", "longest_repeat",
         )
     ])
+
+
+@query
+def op5_token_shards(spark, sf):
+    folder = new_path(spark, "shards")
+    rows = shards.write_shards(table(spark, sf, "documents"), folder)
+    buckets = shards.write_index(rows, folder)
+    located = shards.find(rows.select("key", "copy"), folder, buckets)
+    read = shards.read_ids(shards.with_starts(located), folder, shards.dtype_of())
+    return read.select(
+        F.col("key").alias("doc_id"), "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"), "copy",
+    )
+
+
+def packed(docs):
+    """The pieces of a packing, their ids as a checksum."""
+    return packing.pack(docs).select(
+        F.col("key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
+@query
+def op10_nnls_packing(spark, sf):
+    return packed(table(spark, sf, "documents"))
