@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, mixing, packing, quality, shards
+from gridtally.llm import chat, html, mixing, packing, quality, shards
 from gridtally.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,10 @@ def op4_incremental_chat(spark, sf):
         "conv_id", F.col("digest.n_read").alias("n_turns"), "digest.turns_sha256",
         "digest.loss_chars", "digest.loss_sha256", "digest.formatted_chars", F.col("chat.rewritten_at").alias("rewritten_at"),
     )
+
+
+@query
+def op7_mincut_html(spark, sf):
+    made = html.extract(table(spark, sf, "pages"))
+    return made.select("page_id", "url", F.col("main_text").alias("text"),
+                       F.length("main_text").cast("long").alias("n_chars"))
