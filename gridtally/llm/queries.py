@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, html, mixing, packing, quality, shards
+from gridtally.llm import chat, html, jaccard, mixing, packing, quality, shards
 from gridtally.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,8 @@ def op7_mincut_html(spark, sf):
     made = html.extract(table(spark, sf, "pages"))
     return made.select("page_id", "url", F.col("main_text").alias("text"),
                        F.length("main_text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_partenum_jaccard(spark, sf):
+    return jaccard.similar(table(spark, sf, "documents"), k=4, num=85, den=100)
