@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, html, jaccard, mixing, packing, quality, shards
+from gridtally.llm import chat, html, jaccard, mixing, packing, quality, shards, substrings
 from gridtally.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,9 @@ def op7_mincut_html(spark, sf):
 @query
 def op8_partenum_jaccard(spark, sf):
     return jaccard.similar(table(spark, sf, "documents"), k=4, num=85, den=100)
+
+
+@query
+def op3_debruijn_substrings(spark, sf):
+    cut = substrings.dedup(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
