@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, html, jaccard, mixing, packing, quality, shards, substrings
+from gridtally.llm import (
+    chat, embeddings, html, jaccard, mixing, packing, quality, shards, substrings,
+)
 from gridtally.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +99,8 @@ def op8_partenum_jaccard(spark, sf):
 def op3_debruijn_substrings(spark, sf):
     cut = substrings.dedup(table(spark, sf, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_sign_hash_embeddings(spark, sf):
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"))
