@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.llm import (
-    chat, embeddings, html, jaccard, mixing, packing, quality, shards, substrings,
+    chat, embeddings, html, jaccard, mixing, packing, pii, quality, shards, substrings,
 )
 from gridtally.llm.common import new_path
 
@@ -104,3 +104,13 @@ def op3_debruijn_substrings(spark, sf):
 @query
 def op2_sign_hash_embeddings(spark, sf):
     return embeddings.near_duplicates(table(spark, sf, "embeddings"))
+
+
+#: A secret of its own for every corpus is what a user passes; this one is for the supplied tables.
+PII_SECRET = "supplied tables"
+
+
+@query
+def op1_pii_surrogates(spark, sf):
+    made = pii.pseudonymize(table(spark, sf, "documents"), PII_SECRET)
+    return made.select("doc_id", "text", F.size("pii").alias("n_entities"), "pii")

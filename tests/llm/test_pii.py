@@ -1,0 +1,115 @@
+"""Surrogates: nothing real is left, formats stay, entities stay distinct and recognisable."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridtally.llm import pii
+from gridtally.llm.queries import REGISTRY
+
+SF = "/root/testdata/sf0.01"
+SHAPES = {  # the entities that the supplied documents hold, found by a pattern of the test's own
+    "email": r"[\w.+-]+@mail\d+\.example\.com",
+    "phone": r"\+1 \(\d{3}\) \d{3}-\d{4}",
+    "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d.]*\d)",
+    "card": r"(?<!\w)\d{16}(?!\w)",
+    "hex": r"(?<=\")[0-9a-f]{40}(?=\")",
+}
+
+
+def test_query(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in REGISTRY["op1_pii_surrogates"](spark, SF).collect()}
+    assert got.keys() == docs.keys()
+    mapping, n = {k: {} for k in SHAPES}, 0
+    for i, text in docs.items():
+        new, left = got[i].text, text
+        for kind, shape in SHAPES.items():
+            for m in re.finditer(shape, text, re.IGNORECASE):
+                n += 1
+                assert m[0] not in new, (kind, m[0])
+        # text outside the entities is as it was
+        spans = re.split(r"[\w.+()@ -]*\d[\w.+()@ -]*", text)
+        if got[i].n_entities == 0:
+            assert new == left
+        for part in spans:
+            assert part in new
+        old = [m[0] for m in re.finditer("|".join(SHAPES.values()), text, re.IGNORECASE)]
+        assert len(old) == len(got[i].pii)
+        for o, p in zip(old, got[i].pii):
+            assert mapping[p.kind].setdefault(o.lower(), p.surrogate.lower()) == p.surrogate.lower()
+            if p.kind != "ip":
+                assert re.sub(r"\d", "9", o) == re.sub(r"\d", "9", p.surrogate) or p.kind in ("hex", "email")
+                assert len(o) == len(p.surrogate)
+    assert n > 100
+    for by in mapping.values():
+        assert len(set(by.values())) == len(by) and not set(by) & set(by.values())
+
+
+TEXTS = [
+    "Mail Jane.Doe@Mail.example.com or jane.doe@mail.EXAMPLE.com, x@y.de.",
+    "call +1 (017) 555-7713 or +10175557713, 555-123-4567!",
+    "card 4111 1111 1111 1111, 4111111111111111 and 9807915762804490",
+    "Mr. John Smith met Mrs SMITH, Frau Müller and Herr Müller; Госпожа Анна Иванова.",
+    "iban DE89370400440532013000 ssn 123-45-6789 2001:0db8:85a3:0000:0000:8a2e:0370:7334",
+]
+
+
+def redacted(spark, texts, **names):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return {r.doc_id: r for r in pii.pseudonymize(df, "k").collect()}
+
+
+def luhn(digits):
+    d = [int(c) for c in digits][::-1]
+    return sum(d[0::2] + [sum(divmod(2 * x, 10)) for x in d[1::2]]) % 10 == 0
+
+
+def test_formats_and_coreference(spark):
+    got = redacted(spark, TEXTS)
+    one, two, _ = (p.surrogate for p in got[0].pii)
+    assert one.lower() == two.lower() and one.endswith(".com") and two.split(".")[-2].isupper()
+    a, b, c = (p.surrogate for p in got[1].pii)
+    assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b) and re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", a)
+    assert re.fullmatch(r"\d{3}-\d{3}-\d{4}", c)
+    x, y, z = (p.surrogate for p in got[2].pii)
+    assert x.replace(" ", "") == y and luhn(y) and luhn("4111111111111111")
+    assert luhn(z) == luhn("9807915762804490")
+    john, mrs, frau, herr, anna = (p.surrogate for p in got[3].pii)
+    assert john.startswith("Mr. ") and mrs == "Mrs " + john.split()[-1].upper()
+    assert frau.split()[1] == herr.split()[1] and john.split()[1].endswith("n")
+    assert re.fullmatch(r"Госпожа [А-Я][а-я]+я [А-Я][а-я]+", anna)
+    assert [p.kind for p in got[4].pii] == ["iban", "ssn", "ipv6"]
+
+
+def test_clean_and_odd_rows(spark):
+    texts = [None, "", "a" * 50000, "12 3.4 2024-01-02 10:00:00 v1.2.3, 100,000.00 (2020) no@ @no x@y",
+             "Version 2.0. " * 3000, "mail a@b.co " * 5000]
+    df = spark.createDataFrame([(1, t, 7, 0) for t in texts] + [(None, "a@b.co", None, 0)] * 2,
+                               "doc_id long, text string, pii int, kind int")
+    got = pii.pseudonymize(df, "k").collect()
+    assert len(got) == len(texts) + 2 and got[0].__fields__ == ["doc_id", "text", "kind", "pii"]
+    by = {r.text: r.pii for r in got}
+    assert by[None] is None
+    for t in texts[1:5]:
+        assert by[t] == []
+    assert max(len(p) for p in by.values() if p) == 5000
+    assert pii.pseudonymize(df.limit(0), "k").collect() == []
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_collisions_are_drawn_again(spark, monkeypatch, rounds):
+    true = pii._bytes
+    monkeypatch.setattr(pii, "_bytes", lambda secret: F.when(F.col("attempt") < rounds, F.lit("07" * 512))
+                        .otherwise(true(secret)))
+    numbers = [f"98079157628{i:05d}" for i in range(40)] + ["7777777777777777"]
+    entities = spark.createDataFrame([("card", x) for x in numbers], "kind string, norm string")
+    got = {r.norm: r.core for r in pii.surrogates(entities, "k").collect()}
+    assert got.keys() == set(numbers) and len(set(got.values())) == len(numbers)
+    assert not set(got.values()) & set(numbers)
+
+
+def test_keyed(spark):
+    df = spark.createDataFrame([(1, TEXTS[0])], "doc_id long, text string")
+    assert pii.pseudonymize(df, "a").first().text != pii.pseudonymize(df, "b").first().text
