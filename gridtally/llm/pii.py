@@ -276,3 +276,17 @@ def pseudonymize(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
         F.when(has, marks).when(F.col(f"`{text}`").isNotNull(), none).alias("pii"),
     )
     return made.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "pii"], "pii")
+
+
+def replace(docs: DataFrame, secret: str, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """``docs`` with surrogates in ``text``, the columns they came with, and ``n_chars`` counted anew
+    where a text changed."""
+    marked = docs.withColumn("__docs_pii", F.col("pii")) if "pii" in docs.columns else docs
+    made = pseudonymize(marked, secret, text)
+    if n_chars in docs.columns:
+        kind = docs.schema[n_chars].dataType
+        made = made.withColumn(n_chars, F.when(F.size("pii") > 0, F.length(text).cast(kind))
+                               .otherwise(F.col(n_chars)))
+    if "pii" in docs.columns:
+        made = made.withColumn("pii", F.col("__docs_pii"))
+    return made.select(*[F.col(f"`{c}`") for c in docs.columns])
