@@ -243,7 +243,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             if out:
                 yield pd.DataFrame(out, columns=NAMES)
 
-    return encoded.join(plan, "row").select("key", "n", "ids", "pieces").mapInPandas(
+    # hinted, so that small inputs go the way of large ones
+    return encoded.join(plan.hint("merge"), "row").select("key", "n", "ids", "pieces").mapInPandas(
         slices, f"key {kind}, start long, length long, doc_tokens long, sequence_id long, "
                 "offset long, ids binary")
 
