@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 PRIORITY = {"+": 1, "#": 1, "*": 2, "/": 2}
 REFERENCE = "@"
 _LEXEME = re.compile(r"[-+*/#()]|[^-+*/#()]+")
+_NUMBER = re.compile(r"(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][0-9]+)?")
 
 
 def _lexemes(formula: str) -> list[str]:
@@ -65,10 +66,9 @@ def to_postfix(formula: str | None) -> list[str] | None:
             if not want_operand:
                 return None
             if not lexeme.startswith(REFERENCE):
-                try:
-                    lexeme = repr(float(lexeme))
-                except ValueError:
+                if not _NUMBER.fullmatch(lexeme):
                     return None
+                lexeme = repr(float(lexeme))
             output.append(lexeme)
             want_operand = False
     if want_operand or "(" in waiting:
@@ -83,9 +83,13 @@ def compile_formula(formulas: pd.Series) -> pd.Series:
 
 
 def referenced_items(postfix: Column) -> Column:
-    """Distinct item ids a compiled formula reads."""
+    """Distinct item ids a compiled formula reads; one that is no 64-bit number names no item."""
     refs = F.filter(postfix, lambda s: s.startswith(REFERENCE))
-    return F.array_distinct(F.transform(refs, lambda s: F.substring(s, 2, 20).cast("long")))
+    return F.filter(F.array_distinct(F.transform(refs, _item_id)), lambda i: i.isNotNull())
+
+
+def _item_id(symbol: Column) -> Column:
+    return F.substring(symbol, len(REFERENCE) + 1, 2147483647).try_cast("long")
 
 
 def evaluate(postfix: Column, inputs: Column) -> Column:
@@ -103,7 +107,7 @@ def evaluate(postfix: Column, inputs: Column) -> Column:
         def push(base: Column, x: Column) -> Column:
             return F.concat(base, F.array(x.cast("double")))
 
-        reference = F.substring(symbol, 2, 20).try_cast("long")
+        reference = _item_id(symbol)
         return (
             F.when(symbol == "+", push(rest, a + b))
             .when(symbol == "#", push(rest, a - b))

@@ -31,7 +31,15 @@ def exact_difference(smaller: Column, bigger: Column) -> Column:
 
 
 def exact_product(a: Column, b: Column) -> Column:
-    return (a.cast(REGISTER) * b.cast(REGISTER)).cast(AMOUNT)
+    """The product of two numbers with at most six decimals; an error for any other number."""
+    return (_register(a) * _register(b)).cast(AMOUNT)
+
+
+def _register(x: Column) -> Column:
+    """``x`` as a register, never a rounded one."""
+    register = x.cast(REGISTER)
+    finer = F.raise_error(F.concat(F.lit("more than six decimals: "), x.cast("string")))
+    return F.when(register != x.cast("decimal(38,18)"), finer.cast(REGISTER)).otherwise(register)
 
 
 def round_half_up(x: Column, places: int) -> Column:

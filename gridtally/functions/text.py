@@ -54,7 +54,7 @@ def sort_points(points: Column) -> Column:
     keyed = F.transform(
         points,
         lambda p, i: F.struct(
-            F.substring(p["pointName"], 3, 2147483647).cast("int").alias("n"), i.alias("i")
+            F.substring(p["pointName"], 3, 2147483647).cast("decimal(38,0)").alias("n"), i.alias("i")
         ),
     )
     return F.transform(F.array_sort(keyed), lambda k: F.get(points, k["i"]))

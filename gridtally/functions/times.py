@@ -43,18 +43,18 @@ def is_valid_time(text: Column, now: datetime | str | None, tolerance_seconds: i
 
 
 def is_valid_range(start: str, end: str) -> bool:
-    """Driver-side check of a job's time range: both parse and ``end`` is later as text."""
+    """Driver-side check of a job's time range: both parse and ``end`` is the later time."""
 
-    def parses(text: str) -> bool:
+    def parsed(text: str) -> datetime | None:
         text = text.strip()
         fmt = "%Y%m%d%H%M%S" if len(text) == 14 else "%Y-%m-%d %H:%M:%S"
         try:
-            datetime.strptime(text, fmt)
+            return datetime.strptime(text, fmt)
         except ValueError:
-            return False
-        return True
+            return None
 
-    return parses(start) and parses(end) and end > start
+    since, until = parsed(start), parsed(end)
+    return since is not None and until is not None and until > since
 
 
 def hour_of(ts: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.functions import formula, text, times
+from gridtally.functions import formula, numbers, text, times
+from gridtally.operators.queue import OWN
 from gridtally.schemas import AMOUNT, DEFAULT_MAX_VALUE, HOUR_COLUMNS, HOUR_KEY
 
 DECIMALS = 2
@@ -38,8 +39,9 @@ def virtual_hour(
 ) -> DataFrame:
     """Hour rows of virtual items.
 
-    A row appears for an hour when the item's own collector is queued for the next hour
-    and at least one input has a valid row. Inputs come from the item's own side,
+    A row appears for an hour when the item's own collector is queued (type own) for the next
+    hour and at least one input has a valid row. A result that no amount can hold counts as
+    0, like that of a faulty formula, and is never valid. Inputs come from the item's own side,
     electric or not; a missing input is 0. The inputs of one formula and hour are grouped
     into a map, which is as large as the formula is long.
     """
@@ -56,14 +58,14 @@ def virtual_hour(
         .groupBy("item_name", "type_id", "date_time")
         .agg(F.map_from_entries(F.collect_list(F.struct("item_id", "amounts"))).alias("inputs"))
     )
-    due = queue.select(
+    due = queue.where(F.col("type") == OWN).select(
         F.col("build_code").alias("building_code"), "collector_code",
         (times.stamp_to_hour(F.col("timestamp")) - times.hours(1)).alias("date_time"),
     ).distinct()
 
     def result(metric: str):
         inputs = F.transform_values("inputs", lambda _, amounts: amounts[metric])
-        return F.round(formula.evaluate(F.col("postfix"), inputs), DECIMALS)
+        return numbers.round_half_up(formula.evaluate(F.col("postfix"), inputs), DECIMALS)
 
     computed = (
         gathered.join(compiled, ["item_name", "type_id"])
@@ -74,11 +76,15 @@ def virtual_hour(
         )
     )
     in_range = (F.col("value") >= 0) & (F.col("value") <= F.col("max_value"))
+
+    def amount(x):
+        return F.coalesce(x.try_cast(AMOUNT), F.lit(0).cast(AMOUNT))
+
     return computed.select(
         "item_name", "type_id", "date_time",
-        F.greatest("value", F.lit(0.0)).cast(AMOUNT).alias("value"),
-        F.col("real_value").cast(AMOUNT).alias("real_value"),
-        F.col("rate").cast(AMOUNT).alias("rate"),
+        amount(F.greatest("value", F.lit(0.0))).alias("value"),
+        amount(F.col("real_value")).alias("real_value"),
+        amount(F.col("rate")).alias("rate"),
         F.when(in_range, 0).otherwise(2).alias("error"),
         "type",
     ).select(*HOUR_COLUMNS)

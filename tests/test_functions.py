@@ -36,6 +36,8 @@ def test_time_range():
     assert times.is_valid_range("20190730120000", "20190731140000")
     assert not times.is_valid_range("20190731140000", "20190730120000")
     assert not times.is_valid_range("2019", "20190730120000")
+    assert times.is_valid_range("2019-07-30 12:00:00", "20190731140000")
+    assert not times.is_valid_range("2024-12-01 00:00:00", "20240101000000")
 
 
 def test_mixed_formats_sort(spark):
@@ -133,3 +135,28 @@ def test_formula_references(spark):
     refs = df.select(formula.compile_formula("f").alias("p"))
     got = refs.select(formula.referenced_items(F.col("p")).alias("r")).first().r
     assert sorted(got) == [7, 12]
+
+
+def test_odd_formulas(spark):
+    long_id = "1" * 25
+    for text in ["dnan", "dinf", "d1_000", "d0x1"]:
+        assert formula.to_postfix(text) is None
+    assert formula.to_postfix("d1e3") == ["1000.0"]
+    ids = F.array(*[F.lit(s) for s in ("@" + long_id, "@7", "@7")])
+    assert one(spark, formula.referenced_items(ids)) == [7]
+    inputs = F.create_map(F.lit(7).cast("long"), F.lit(2.0))
+    symbols = F.array(F.lit("@" + long_id), F.lit("@7"), F.lit("+"))
+    assert one(spark, formula.evaluate(symbols, inputs)) == 2.0
+
+
+def test_sort_points_beyond_32_bits(spark):
+    points = F.array(*[F.struct(F.lit(n).alias("pointName")) for n in ("dp3000000000", "dp2", "dp10")])
+    got = one(spark, text.sort_points(points))
+    assert [p.pointName for p in got] == ["dp2", "dp10", "dp3000000000"]
+
+
+def test_exact_product_never_rounds_its_inputs(spark):
+    product = numbers.exact_product(F.lit("1.000001"), F.lit("3"))
+    assert float(one(spark, product)) == 3.000003
+    with pytest.raises(Exception, match="more than six decimals"):
+        one(spark, numbers.exact_product(F.lit("0.0000004"), F.lit("3")))
