@@ -2,13 +2,15 @@
 
 Hour rows, states and queue rows belong to the batch that wrote them. Virtual rows, days,
 months and sub-entries are always recomputed for whole partitions from the rows below them.
-So running a step again leaves the same tables.
+So running a step again leaves the same tables. A partition that is to become empty gets a
+row without a key, which readers do not see: so a rerun or a recompute never leaves old rows
+where there are none now.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +40,11 @@ def _totals(schema: T.StructType) -> T.StructType:
     )
 
 
-# Batches from here on are steps of a backfill; their hour rows win over live ones.
+# Batches from here on are steps of a backfill; their hour rows win over live ones. Every run
+# of a backfill has its own STEPS batches.
 BACKFILL = 1_000_000_000_000
+STEPS = 1_000
+HOUR = timedelta(hours=1)
 
 DAY_PART = ("day", T.DateType())
 MONTH_PART = ("month", T.DateType())
@@ -75,6 +80,10 @@ SCHEMAS = {
     "subentry_day": _with(SUBENTRY_SCHEMA, DAY_PART),
     "queue": _with(QUEUE_SCHEMA, DAY_PART, BATCH_PART),
     "state": _with(STATE_SCHEMA, BATCH_PART),
+    "ranges": T.StructType([
+        T.StructField("start", T.TimestampType()), T.StructField("end", T.TimestampType()),
+        T.StructField(*BATCH_PART),
+    ]),
 }
 
 PARTITIONS = {
@@ -87,6 +96,14 @@ PARTITIONS = {
     "subentry_day": ["day"],
     "queue": ["day", "batch"],
     "state": ["batch"],
+    "ranges": ["batch"],
+}
+
+# A column that no row lacks.
+KEYS = {
+    "amounts": "item_name", "hour": "item_name", "virtual_hour": "item_name", "day": "item_name",
+    "month": "item_name", "subentry_hour": "building_code", "subentry_day": "building_code",
+    "queue": "build_code", "state": "item_name", "ranges": "start",
 }
 
 
@@ -102,48 +119,92 @@ class MeterTables:
 
     def read(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
         """A table, or only some of its day partitions."""
-        rows = read_table(self.spark, self.path(name), SCHEMAS[name])
+        rows = self._stored(name).where(F.col(KEYS[name]).isNotNull())
         return rows if days is None else rows.where(F.col("day").isin(list(days)))
 
+    def _stored(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.path(name), SCHEMAS[name])
+
     def create(self) -> MeterTables:
-        """Makes the state table, the only one a job reads before it has written it."""
-        create_table(self.spark, self.path("state"), SCHEMAS["state"], PARTITIONS["state"])
+        """Makes the tables that a job reads before it has written them."""
+        for name in ("state", "hour", "queue", "ranges"):
+            create_table(self.spark, self.path(name), SCHEMAS[name], PARTITIONS[name])
         return self
 
-    def replace(self, name: str, rows: DataFrame) -> None:
+    def replace(self, name: str, rows: DataFrame, touched: DataFrame | None = None) -> None:
+        """Writes partitions anew; those in ``touched`` that have no rows become empty."""
+        if touched is not None:
+            empty = touched.select(*PARTITIONS[name])
+            rows = rows.unionByName(empty, allowMissingColumns=True)
         replace_partitions(rows, self.path(name), PARTITIONS[name])
 
+    def newest_batch(self, name: str, below: int | None = None) -> int:
+        """The last batch that wrote a table, from partition names; -1 if there is none."""
+        batches = self._stored(name).select("batch")
+        if below is not None:
+            batches = batches.where(F.col("batch") < below)
+        newest = batches.agg(F.max("batch")).first()[0]
+        return -1 if newest is None else newest
+
+    def next_run(self) -> int:
+        """The number of a backfill that has not run yet."""
+        newest = self.newest_batch("ranges")
+        return 0 if newest < BACKFILL else (newest - BACKFILL) // STEPS + 1
+
+    def write_range(self, start: str, end: str, batch: int) -> None:
+        """Notes which times a step of a backfill has computed."""
+        row = self.spark.range(1).select(
+            times.parse_time(F.lit(start)).alias("start"),
+            times.parse_time(F.lit(end)).alias("end"), F.lit(batch).alias("batch"),
+        )
+        self.replace("ranges", row)
+
     def hours(self, days: Sequence[date]) -> DataFrame:
         """Hour rows of some days, one per key: where a backfill wrote any, the last one wins.
 
-        Live batches never repeat a key, so without a backfill there is nothing to reduce;
-        the test reads no file unless such partitions exist.
+        Of an earlier backfill nothing is left among the hours that a later one computed, those
+        whose next hour begins in its range, whether or not it has a row for them. Live batches never repeat a key, so without a
+        backfill there is nothing to reduce; the test reads no file unless such partitions
+        exist.
         """
         rows = self.read("hour", days)
         if not rows.where(F.col("batch") >= BACKFILL).isEmpty():
+            # One row per step ever run, far fewer than days.
+            for r in self.read("ranges").collect():
+                begun = r.start.replace(minute=0, second=0, microsecond=0)
+                since = begun - HOUR * (begun == r.start)
+                computed = (F.col("date_time") >= since) & (F.col("date_time") < r.end - HOUR)
+                older = F.col("batch").between(BACKFILL, _first_step(r.batch) - 1)
+                rows = rows.where(~(older & computed))
             rows = last_per_key(rows, HOUR_KEY, ["batch"])
         return rows.drop("batch")
 
     def write_hours(self, rows: DataFrame, batch: int) -> None:
         rows = rows.withColumn("day", F.to_date("date_time")).withColumn("batch", F.lit(batch))
-        self.replace("hour", rows)
+        self.replace("hour", rows, self._written("hour", batch))
+
+    def _written(self, name: str, batch: int) -> DataFrame:
+        """The partitions that a batch has already; a handful, made apart from the files."""
+        mine = self._stored(name).where(F.col("batch") == batch).select("day", "batch").distinct()
+        return self.spark.createDataFrame(mine.collect(), mine.schema)
 
     def write_queue(self, rows: DataFrame, batch: int) -> None:
         """Queue rows under the day of the hour that their virtual rows belong to."""
         due = times.stamp_to_hour(F.col("timestamp")) - times.hours(1)
         rows = rows.withColumn("day", F.to_date(due)).withColumn("batch", F.lit(batch))
-        self.replace("queue", rows)
+        self.replace("queue", rows, self._written("queue", batch))
 
     def state(self, batch: int) -> DataFrame:
         return self.read("state").where(F.col("batch") == batch).drop("batch")
 
     def write_state(self, rows: DataFrame, batch: int) -> None:
-        self.replace("state", rows.withColumn("batch", F.lit(batch)))
+        self.replace("state", rows.withColumn("batch", F.lit(batch)),
+                     self.spark.createDataFrame([(batch,)], "batch long"))
 
     def touched_days(self, batch: int) -> list[date]:
         """Days that got hour or queue rows in a batch: a handful, read from partition names."""
         parts = [
-            self.read(name).where(F.col("batch") == batch).select("day")
+            self._stored(name).where(F.col("batch") == batch).select("day")
             for name in ("hour", "queue")
         ]
         return sorted(r.day for r in parts[0].union(parts[1]).distinct().collect())
@@ -170,10 +231,18 @@ class MeterTables:
         months = sorted({d.replace(day=1) for d in days})
         day_rows = self.read("day").where(F.col("month").isin(months)).drop("day", "month")
         month_rows = month_rollup(day_rows).withColumn("month", F.to_date("date_time"))
-        self.replace("month", month_rows)
+        touched = self.spark.createDataFrame([(m,) for m in months], "month date")
+        self.replace("month", month_rows, touched)
 
     def _replace_days(self, name: str, rows: DataFrame, time: str, days: Sequence[date]) -> None:
         rows = rows.withColumn("day", F.to_date(time)).where(F.col("day").isin(list(days)))
+        touched = self.spark.createDataFrame([(d,) for d in days], "day date")
         if "month" in PARTITIONS[name]:
             rows = rows.withColumn("month", F.to_date(F.date_trunc("month", time)))
-        self.replace(name, rows)
+            touched = touched.withColumn("month", F.trunc("day", "month"))
+        self.replace(name, rows, touched)
+
+
+def _first_step(batch: int) -> int:
+    """The first batch of the run that a backfill's batch belongs to."""
+    return BACKFILL + (batch - BACKFILL) // STEPS * STEPS

@@ -9,12 +9,14 @@ from gridtally.functions import text, times
 from gridtally.schemas import READING_FIELDS
 
 
-def decode_readings(records: DataFrame, value: str = "value") -> DataFrame:
+def decode_readings(records: DataFrame, value: str = "value", raw: str | None = None) -> DataFrame:
     """Ten named text fields from a JSON array record; all null when it is malformed.
 
-    Other columns of ``records`` are kept.
+    Other columns of ``records`` are kept, and the record's own text as ``raw`` if named.
     """
     kept = [c for c in records.columns if c != value]
+    if raw is not None:
+        records, kept = records.withColumn(raw, F.col(value).cast("string")), [*kept, raw]
     cells = text.parse_json_array(F.col(value).cast("string"))
     return records.select(*kept, cells.alias("_cells")).select(
         *kept, *[F.get("_cells", F.lit(i)).alias(n) for i, n in enumerate(READING_FIELDS)]
@@ -57,10 +59,11 @@ def kafka_stream(
     topic: str,
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> DataFrame:
     """Records of one topic; offsets live in the query's checkpoint.
 
-    ``failOnDataLoss`` is off: offsets that have aged out restart at the beginning.
+    Without ``fail_on_data_loss``, offsets that have aged out restart at the beginning.
     Needs the Kafka connector on the cluster's classpath.
     """
     reader = (
@@ -68,18 +71,23 @@ def kafka_stream(
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
     if max_offsets_per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return reader.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")
 
 
-def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Text files of one JSON record per line, oldest file first."""
-    return (
-        spark.readStream.format("text")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(path)
-        .select("value")
-    )
+def file_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Text files of one JSON record per line, oldest file first.
+
+    All new files make one batch. A limit cuts them into several, in order of their
+    modification times; set one only where older files hold no later readings, since a
+    batch that runs ahead makes the watermark drop what the next one brings.
+    """
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path).select("value")

@@ -20,16 +20,19 @@ def write_batch(records: DataFrame, batch: int, root: str, now: datetime | str |
     Every batch owns its ``batch`` partition and overwrites it, so a batch that runs again
     after a failure leaves the tables as they were.
     """
-    flagged = flag_quarantine(decode_readings(records), now)
+    flagged = flag_quarantine(decode_readings(records, raw="raw"), now)
     flagged = with_day(flagged).withColumn("batch", F.lit(batch))
+    # Only a quarantined record's text says what it was.
+    flagged = flagged.withColumn("raw", F.when(F.col("quarantined"), F.col("raw")))
     flagged = flagged.withColumn(
         "kind", F.when(F.col("quarantined"), QUARANTINE).otherwise(HISTORY)
     ).drop("quarantined")
     # One write, split by its first partition column: the records are read and parsed once.
+    # Rebalanced, so that a batch makes a file per day and kind, and more only for large ones.
     (
-        flagged.write.mode("overwrite")
+        flagged.hint("rebalance", "kind", "day").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("kind", "batch", "day")
+        .partitionBy("kind", "day", "batch")
         .parquet(root)
     )
 

@@ -36,7 +36,9 @@ def process_batch(
     # A row per series and hour of the batch, kept for the hour rows and the state.
     amounts = hourly.with_limits(hourly.hour_firsts(clean), dims.limits).persist()
     try:
-        advance(tables, amounts, data_access_events(readings, now), batch)
+        # The newest state, so that a gap in the batches' numbers loses nothing.
+        state = tables.state(tables.newest_batch("state", below=batch))
+        advance(tables, amounts, data_access_events(readings, now), batch, state)
     finally:
         amounts.unpersist()
     if refresh:

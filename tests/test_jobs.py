@@ -135,7 +135,7 @@ def tables_of(stored):
     Batches that touch the same hour each queue it, and the queue's readers take distinct
     rows; so do we.
     """
-    names = [n for n in SCHEMAS if n not in ("amounts", "state")]
+    names = [n for n in SCHEMAS if n not in ("amounts", "state", "ranges")]
     rows = {n: stored.read(n).drop("batch") for n in names}
     rows["queue"] = rows["queue"].distinct()
     return {n: sorted(map(str, df.collect())) for n, df in rows.items()}
@@ -177,6 +177,64 @@ def test_backfill_in_steps(spark, tmp_path, dims):
         backfill(one, readings(spark, rows), dims, "20240501000000", "20240101000000", NOW)
 
 
+def test_overlapping_backfills_keep_the_rest_and_the_seam(spark, tmp_path, dims):
+    rows = [reading("m0", at(h), str(h)) for h in range(24)]
+    one = MeterTables(spark, str(tmp_path / "one"))
+    backfill(one, readings(spark, rows), dims, "20240301000000", "20240302000000", NOW)
+    two = MeterTables(spark, str(tmp_path / "two"))
+    for start, end in [("20240301000000", "20240302000000"), ("20240301120000", "20240302000000"),
+                       ("20240301060000", "20240301083000")]:
+        backfill(two, readings(spark, rows), dims, start, end, NOW)
+    days = [at(0).date()]
+    assert hour_tuples(one.hours(days)) == hour_tuples(two.hours(days))
+    for name in ("day", "month", "subentry_hour", "subentry_day", "virtual_hour"):
+        assert sorted(map(str, one.read(name).collect())) == sorted(map(str, two.read(name).collect()))
+
+
+def test_recompute_empties_what_has_no_rows_now(spark, tmp_path, dims):
+    good = [reading("m0", at(h), str(h)) for h in range(5)]
+    stored = MeterTables(spark, str(tmp_path / "t"))
+    span = ("20240301000000", "20240302000000", NOW)
+    backfill(stored, readings(spark, good), dims, *span)
+    assert stored.read("virtual_hour").count() > 0 and stored.read("day").count() > 0
+    # in the corrected history the meter runs backwards, so no hour is valid
+    bad = [reading("m0", at(h), str(100 - h)) for h in range(5)]
+    backfill(stored, readings(spark, bad), dims, *span)
+    fresh = MeterTables(spark, str(tmp_path / "fresh"))
+    backfill(fresh, readings(spark, bad), dims, *span)
+    for name in ("virtual_hour", "day", "month", "subentry_hour", "subentry_day"):
+        assert sorted(map(str, stored.read(name).collect())) == sorted(map(str, fresh.read(name).collect()))
+    # and then there is no reading at all
+    run = backfill(stored, readings(spark, []), dims, *span)
+    days = [at(0).date()]
+    assert stored.hours(days).count() == stored.read("day").count() == stored.read("month").count() == 0
+    # a step that runs again leaves none of its own old rows either
+    backfill(stored, readings(spark, good), dims, *span, run=run)
+    backfill(stored, readings(spark, []), dims, *span, run=run)
+    assert stored.hours(days).count() == 0 and stored.read("queue").where(
+        f"batch = {stored.newest_batch('queue')}").count() == 0
+
+
+def test_live_goes_on_with_the_newest_state(spark, tmp_path, dims):
+    stored = MeterTables(spark, str(tmp_path / "t")).create()
+    live.process_batch(records(spark, [reading("m1", at(0), "1")]), 3, stored, dims, NOW)
+    live.process_batch(records(spark, [reading("m1", at(1), "5")]), 7, stored, dims, NOW)
+    assert [t[3] for t in hour_tuples(stored.read("hour"))] == [4.0]
+
+
+def test_an_arrival_of_many_files_is_one_batch(spark, tmp_path, dims):
+    rows = random_rows(8)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n, part in enumerate([rows[150:], rows[:150]]):  # later readings in older files
+        records(spark, part).repartition(40).write.mode("append").parquet(source)
+    records(spark, SENTINEL).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("value string").parquet(source)
+    streams.hourly_fold(sources.decode_readings(stream), dims.item_type, dims.limits, now=NOW) \
+        .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")) \
+        .trigger(**ONCE).start(out).awaitTermination()
+    assert hour_tuples(spark.read.parquet(out)) == batch_hours(spark, rows, dims)
+
+
 def test_backfill_wins_over_live_rows(spark, tmp_path, dims):
     stored = MeterTables(spark, str(tmp_path / "t")).create()
     wrong = [reading("m1", at(0), "1"), reading("m1", at(1), "500"), reading("m1", at(2), "501")]
@@ -196,6 +254,8 @@ def test_ingest_is_complete_and_replayable(spark, tmp_path):
     ingest.write_batch(records(spark, rows[:1]), 1, root, NOW)
     kinds = spark.read.parquet(root).groupBy("kind").count()
     assert {r.kind: r["count"] for r in kinds.collect()} == {"history": 2, "quarantine": 3}
+    raw = {r.raw for r in spark.read.parquet(root).where("kind = 'quarantine'").collect()}
+    assert "{broken" in raw and len(raw) == 3 and None not in raw
 
 
 def test_json_round_trip(spark):

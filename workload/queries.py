@@ -13,7 +13,7 @@ from gridtally.operators import (
 )
 from gridtally.operators import queue as work_queue
 from gridtally.plans.backfill import backfill
-from gridtally.plans.tables import BACKFILL, MeterTables
+from gridtally.plans.tables import MeterTables
 from gridtally.schemas import READING_FIELDS, SUBENTRY_BUCKETS, as_double
 from gridtally.sources import readings as sources
 from gridtally.sources import tables
@@ -339,6 +339,18 @@ def third_party_subentry(spark, sf):
     return as_double(subentry.add_buckets(_subentry_hours(spark, sf), added))
 
 
+@query
+def third_party_subentry_day(spark, sf):
+    """The same amounts added to the day table."""
+    pending = work_queue.pending_third_party(views.queue(spark, sf), P.QUEUE_STAMP)
+    added = subentry.third_party_amounts(
+        pending, _hours(spark, sf), views.meter_dimensions(spark, sf).subentries
+    )
+    return as_double(subentry.add_buckets(
+        subentry.subentry_day(_subentry_hours(spark, sf)), subentry.subentry_day(added)
+    ))
+
+
 # --- virtual meters
 
 
@@ -576,10 +588,8 @@ def _arrive(spark: SparkSession, sf: str, folder: str, n: int) -> None:
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        spark.readStream.schema("value string, offset long")
-        .option("maxFilesPerTrigger", 1000).parquet(folder)
-    )
+    """All files of an arrival are one batch, however many they are."""
+    return spark.readStream.schema("value string, offset long").parquet(folder)
 
 
 def _sentinel(spark: SparkSession, folder: str) -> None:
@@ -659,7 +669,7 @@ def stream_hourly_fold(spark, sf):
     return as_double(_stream_to_table(spark, sf, "fold", build, sentinel=False))
 
 
-def _all_tables(stored: MeterTables, state_batch: int) -> DataFrame:
+def _all_tables(stored: MeterTables) -> DataFrame:
     """Every result table in one long form: table, code, part, time, two values, error."""
     zero = F.lit(0).cast("double")
 
@@ -680,13 +690,14 @@ def _all_tables(stored: MeterTables, state_batch: int) -> DataFrame:
             zero.alias("real_value"), F.lit(0).alias("error"),
         )
 
-    state = stored.state(state_batch).select(
+    state = stored.state(stored.newest_batch("state")).select(
         F.lit("state").alias("table_name"), F.col("item_name").alias("code"),
         F.col("type_id").cast("string").alias("part"), "date_time",
         F.col("real_value").cast("double").alias("value"), zero.alias("real_value"),
         F.lit(0).alias("error"),
     )
-    hours = stored.read("hour").drop("batch").unionByName(stored.read("virtual_hour"))
+    days = sorted({r.day for r in stored.read("hour").select("day").distinct().collect()})
+    hours = stored.hours(days).unionByName(stored.read("virtual_hour"))
     parts = [
         energy("hour", hours), energy("day", stored.read("day")),
         energy("month", stored.read("month")), buckets("subentry_hour"),
@@ -710,18 +721,32 @@ def pipeline_live(spark, sf):
         )
 
     _drain(spark, sf, f"{root}/records", start)
-    return _all_tables(MeterTables(spark, f"{root}/tables"), len(ARRIVALS))
+    return _all_tables(MeterTables(spark, f"{root}/tables"))
 
 
 @query
 def pipeline_backfill(spark, sf):
     """Stores the history by day, then recomputes everything from it."""
+    return _all_tables(_backfilled(spark, sf, []))
+
+
+@query
+def pipeline_backfill_overlap(spark, sf):
+    """A run inside another, and one that overlaps both: the tables of one run over all times."""
+    return _all_tables(_backfilled(spark, sf, [(P.FROM, P.TO), (P.SPLIT, P.NOW)]))
+
+
+def _backfilled(spark: SparkSession, sf: str, again: list[tuple[str, str]]) -> MeterTables:
+    """The tables of a backfill over all stored days, and of more backfills after it."""
     root = scratch(spark, "backfill")
     stored = MeterTables(spark, f"{root}/tables")
     good, _ = clean.quarantine_split(views.readings(spark, sf), P.NOW)
     tables.replace_partitions(sources.with_day(good), f"{root}/history", ["day"])
-    backfill(
-        stored, spark.read.parquet(f"{root}/history"), views.meter_dimensions(spark, sf),
-        "2024-01-01 00:00:00", P.NOW, P.NOW, position="event_id",
-    )
-    return _all_tables(stored, BACKFILL)
+    history = spark.read.parquet(f"{root}/history")
+    first = history.agg(F.min("day")).first()[0]
+    for start, end in [(f"{first} 00:00:00", P.NOW), *again]:
+        backfill(
+            stored, history, views.meter_dimensions(spark, sf), start, end, P.NOW,
+            position="event_id",
+        )
+    return stored

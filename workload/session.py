@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,8 +27,13 @@ def local_session(cpus: int | str = 8, memory: str = "8g") -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder: in the shared one the cluster names, else in a temporary one."""
+    """A new folder in the shared one the cluster names.
+
+    Only a session on one machine may do without that setting and gets a temporary folder.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(tempfile.mkdtemp(prefix="gridtally-"), name)

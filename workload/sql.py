@@ -419,6 +419,10 @@ _QUERIES = {
         SELECT building_code, {SUM_BUCKETS}, data_time
         FROM (SELECT * FROM subentry_hourly UNION ALL BY NAME SELECT * FROM third_amounts) b
         GROUP BY building_code, data_time) s""",
+    "third_party_subentry_day": f"""SELECT {SUBENTRY} FROM (
+        SELECT building_code, {SUM_BUCKETS}, date_trunc('day', data_time) AS data_time
+        FROM (SELECT * FROM subentry_hourly UNION ALL BY NAME SELECT * FROM third_amounts) b
+        GROUP BY building_code, date_trunc('day', data_time)) s""",
     # virtual meters
     "virtual_meter_hour": f"SELECT {HOUR} FROM virtual_hourly",
     "virtual_change": f"""SELECT {HOUR}, is_new, {_double('change_value', 'change_real_value', 'change_rate')}
@@ -487,6 +491,7 @@ _QUERIES = {
     "stream_hourly_fold": f"SELECT {HOUR} FROM hourly",
     "pipeline_live": _pipeline("all"),
     "pipeline_backfill": _pipeline("history"),
+    "pipeline_backfill_overlap": _pipeline("history"),
 }
 
 
