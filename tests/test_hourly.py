@@ -9,7 +9,8 @@ from helpers import NOW, at, fold, hour_tuples, item_types, limits, reading, rea
 from gridtally.operators import clean, hourly
 from gridtally.schemas import READING_SCHEMA
 
-GOLDEN = [  # one meter between 12:00 and 14:00, in the order the records were sent
+# The sample records of one meter between 12:00 and 14:00, in the order they were sent.
+GOLDEN = [
     ("48890.80", "20171009130000"), ("48894.40", "20171009133000"),
     ("48898.20", "20171009140000"), ("48883.40", "20171009120000"),
     ("48887.20", "20171009123000"), ("48892.60", "20171009131500"),
@@ -41,6 +42,7 @@ def test_golden_meter(spark):
 
 
 def test_golden_quarantine(spark):
+    # The sample records that are no readings.
     bad = [("48892.60", "20171009131B00"), ("48892.60", "null"),
            ("48,892.60", "20171009124500"), (None, "20171009125000")]
     rows = [("430100A001", "01", "10", "01-1", "01  ", None, "0", v, "null", t) for v, t in bad]
