@@ -47,20 +47,27 @@ def _hours(spark: SparkSession, sf: str) -> DataFrame:
     return hourly.hourly_consumption(_clean(spark, sf), _limits(spark, sf))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Rows that several parts of a plan read: a table computed once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _stored_hours(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(_hours(spark, sf), "hours")
+
+
 # --- sources
 
 
 @query
 def decode_readings(spark, sf):
     readings = views.readings(spark, sf)
-    whole = sources.encode_readings(readings).join(
-        readings.select("event_id", "status"), "event_id"
-    )
     # Records of bad status arrive cut off, which makes them malformed.
+    whole = sources.encode_readings(readings.withColumn("good", F.col("status") == "0"))
     cut = F.substring("value", 1, 5)
-    records = whole.select(
-        "event_id", F.when(F.col("status") == "0", F.col("value")).otherwise(cut).alias("value")
-    )
+    records = whole.select("event_id", F.when(F.col("good"), F.col("value")).otherwise(cut).alias("value"))
     return sources.decode_readings(records)
 
 
@@ -332,22 +339,23 @@ def subentry_day(spark, sf):
 
 @query
 def third_party_subentry(spark, sf):
+    stored, added = _third_party(spark, sf)
+    return as_double(subentry.add_buckets(stored, added))
+
+
+def _third_party(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Own sub-entries per hour, and those that third parties reported."""
+    hours, codes = _stored_hours(spark, sf), views.meter_dimensions(spark, sf).subentries
     pending = work_queue.pending_third_party(views.queue(spark, sf), P.QUEUE_STAMP)
-    added = subentry.third_party_amounts(
-        pending, _hours(spark, sf), views.meter_dimensions(spark, sf).subentries
-    )
-    return as_double(subentry.add_buckets(_subentry_hours(spark, sf), added))
+    return subentry.subentry_hour(hours, codes), subentry.third_party_amounts(pending, hours, codes)
 
 
 @query
 def third_party_subentry_day(spark, sf):
     """The same amounts added to the day table."""
-    pending = work_queue.pending_third_party(views.queue(spark, sf), P.QUEUE_STAMP)
-    added = subentry.third_party_amounts(
-        pending, _hours(spark, sf), views.meter_dimensions(spark, sf).subentries
-    )
+    stored, added = _third_party(spark, sf)
     return as_double(subentry.add_buckets(
-        subentry.subentry_day(_subentry_hours(spark, sf)), subentry.subentry_day(added)
+        subentry.subentry_day(stored), subentry.subentry_day(added)
     ))
 
 
@@ -369,7 +377,7 @@ def virtual_meter_hour(spark, sf):
 @query
 def virtual_change(spark, sf):
     """Against rows stored when only the readings of their own building had arrived."""
-    hours = _hours(spark, sf)
+    hours = _stored_hours(spark, sf)
     own_building = text.building_of(F.col("item_name")) == "B0"
     stored = _virtual_hours(spark, sf, hours.where(own_building))
     return as_double(virtual.changes(_virtual_hours(spark, sf, hours), stored))
@@ -377,7 +385,8 @@ def virtual_change(spark, sf):
 
 @query
 def virtual_day_rollup(spark, sf):
-    every_hour = _hours(spark, sf).unionByName(_virtual_hours(spark, sf))
+    hours = _stored_hours(spark, sf)
+    every_hour = hours.unionByName(_virtual_hours(spark, sf, hours))
     return as_double(rollup.day_rollup(every_hour))
 
 
