@@ -23,7 +23,7 @@ MOST_REPEAT_PERCENT = 20
 #: The suffix-array limits: repeats of so many words count, they may cover so much of the
 #: text, and the longest may have so many words.
 REPEAT_WORDS = 8
-MOST_COVERED_PERCENT = 15
+MOST_COVERED_PERCENT = 20
 MOST_LONGEST = 100
 #: Words whose suffixes are sorted together; texts are never cut, a longer one goes alone.
 BATCH_WORDS = 200_000
