@@ -26,10 +26,11 @@ from gridtally.llm.common import WORDS, components, stored
 
 #: Sizes of a band: its largest set has about 1.4 times the shingles of its smallest.
 BAND = 1.4
-#: Partitions beyond those that the pigeonhole needs; as many may be left out by a set.
-SPARE = 4
+#: Partitions beyond those that the pigeonhole needs, SPARE and one for every SPARE_OF of them; as
+#: many may be left out by a set, so the share that may be does not shrink as sets grow.
+SPARE, SPARE_OF = 4, 8
 #: Signatures of fewer shingles are left out where that is safe.
-LIGHT = 3
+LIGHT = 4
 #: Members of a block.
 BLOCK = 512
 #: Pairs that a task gathers before it removes repeated ones.
@@ -46,6 +47,24 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Hashes(dict):
+    """Hashes of words, remembered by a worker up to a number."""
+
+    MOST = 400_000
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self) > self.MOST:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+HASHES = Hashes()
+
+
 def lower_ascii(text: str) -> str:
     return text.lower() if text.isascii() else UPPER.sub(lambda m: m[0].lower(), text)
 
@@ -55,14 +74,13 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     words = WORDS.findall(lower_ascii(text or ""))
     if not words:
         return np.empty(0, np.uint64)
-    seen = {w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in set(words)}
-    h = np.array([seen[w] for w in words], np.uint64)
+    h = HASHES.of(words)
     width = min(k, len(h))
     n = len(h) - width + 1
     out = np.full(n, width, np.uint64)
-    for i in range(width):
-        out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
-    return np.unique(out)
+    for i in range(width):  # by Horner's rule: a word counts by its place
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n]
+    return np.unique(_mixed(out))
 
 
 class Bands:
@@ -96,16 +114,17 @@ class Bands:
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     """The set's signatures in all its bands.
 
-    With ``most`` differences and most // 2 + 1 + SPARE partitions, at least SPARE + 1 partitions of
+    With ``most`` differences and most // 2 + 1 + spare partitions, at least spare + 1 partitions of
     two similar sets hold at most one difference. A set leaves out its signatures of fewer than t
-    shingles, for the largest t up to LIGHT for which at most SPARE partitions have such. Of two
+    shingles, for the largest t up to LIGHT for which at most ``spare`` partitions have such. Of two
     similar sets, take the one with the larger t: one of the agreeing partitions has none that it
     leaves out, and the other set leaves out even less.
     """
     out = []
     where = _mixed(shingles ^ np.uint64(0xD6E8FEB86659FD93))
     for band, most in bands.of(len(shingles)):
-        parts = most // 2 + 1 + SPARE
+        spare = SPARE + (most // 2 + 1) // SPARE_OF
+        parts = most // 2 + 1 + spare
         cell = ((where >> np.uint64(8)) % np.uint64(parts) * np.uint64(3)
                 + (where & np.uint64(255)) % np.uint64(3)).astype(np.int64)
         count = np.bincount(cell, minlength=3 * parts).reshape(parts, 3)
@@ -115,7 +134,7 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         count = count.sum(1, keepdims=True) - count
         sums = sums.sum(1, keepdims=True, dtype=np.uint64) - sums
         least = count.min(1)
-        light = next(t for t in range(LIGHT, -1, -1) if (least < t).sum() <= SPARE)
+        light = next(t for t in range(LIGHT, -1, -1) if (least < t).sum() <= spare)
         seed = np.arange(3 * parts, dtype=np.uint64) + np.uint64(band << 40)
         sig = _mixed(_mixed(sums.ravel()) + seed * np.uint64(0x9E3779B97F4A7C15))
         out.append(sig[count.ravel() >= light])
