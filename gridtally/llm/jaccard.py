@@ -295,8 +295,10 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str
     of = known.join(classes, ["n", "k1", "k2"]).select("id", "rep").distinct()
     # ids of one class, and several texts of one id, are linked from the start
     of = stored(of, "reps")
+    # copies have the signatures of the one that stands for them
+    own = texts.join(of.select(F.col("rep").alias("id")).distinct().hint("merge"), "id", "left_semi")
     pairs = stored(
-        texts.where("id IS NOT NULL").mapInPandas(partial(_signed, k, num, den), "sig long, id long")
+        own.mapInPandas(partial(_signed, k, num, den), "sig long, id long")
         .repartition("sig").sortWithinPartitions("sig", "id")
         .mapInPandas(_hubs, "hub long, id long").distinct(), "pairs",
     )
@@ -308,14 +310,15 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str
     n_blocks = stored(pairs.groupBy("hub").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "hubs")
     wanted = pairs.select("id").union(pairs.select("hub")).distinct()
-    theirs = stored(texts.join(wanted, "id"), "texts")
+    # texts are joined by merge joins, so that small inputs go the way of large ones
+    theirs = stored(texts.join(wanted.hint("merge"), "id"), "texts")
 
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     rows = pairs.join(n_blocks, "hub").select("hub", block.alias("block"), "id").unionByName(
         n_blocks.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                         F.col("hub").alias("id")))
     links = stored(
-        rows.join(theirs, "id").select("hub", "block", "id", "text")
+        rows.hint("merge").join(theirs, "id").select("hub", "block", "id", "text")
         .repartition("hub", "block").sortWithinPartitions("hub", "block", F.col("id") != F.col("hub"))
         .mapInPandas(partial(_against_hub, k, num, den), "a long, b long"), "links",
     ).unionByName(of.select(F.col("id").alias("a"), F.col("rep").alias("b")))
@@ -333,7 +336,7 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str
                 "id", "label"), "units",
     )
     more = stored(
-        units.join(theirs, "id").select("hub", "i", "j", "id", "label", "text")
+        units.hint("merge").join(theirs, "id").select("hub", "i", "j", "id", "label", "text")
         .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
         .mapInPandas(partial(_in_blocks, k, num, den), "a long, b long"), "more",
     )
