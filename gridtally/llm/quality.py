@@ -21,10 +21,12 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEAT_PERCENT = 20
 #: The suffix-array limits: repeats of so many words count, they may cover so much of the
-#: text, and the longest may have so many words.
-REPEAT_WORDS = 8
-MOST_COVERED_PERCENT = 20
-MOST_LONGEST = 100
+#: text, and the longest may have so many words. Words in them are also words in repeated
+#: windows, so a limit that is not tighter than MOST_REPEAT_PERCENT would never reject a text.
+#: Labelled clean texts repeat up to 13 words, so shorter repeats are left to the windows.
+REPEAT_WORDS = 20
+MOST_COVERED_PERCENT = 10
+MOST_LONGEST = 50
 #: Words whose suffixes are sorted together; texts are never cut, a longer one goes alone.
 BATCH_WORDS = 200_000
 

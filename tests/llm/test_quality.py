@@ -65,6 +65,36 @@ def test_judge_is_brute_force(monkeypatch):
         assert [tuple(r) for r in quality.judge(pd.Series(texts())).itertuples(index=False)] == want
 
 
+def fresh(start, n):
+    return [f"w{i}" for i in range(start, start + n)]
+
+
+def repeated(passage, rest):
+    """A passage of so many words twice, and so many other words between and after."""
+    return " ".join(fresh(0, passage) + fresh(1000, rest // 2) + fresh(0, passage)
+                    + fresh(5000, rest - rest // 2))
+
+
+@pytest.mark.parametrize("passage, rest, covered, longest, kept", [
+    (13, 104, 0, 0, True),        # a short clean repeat of 20 %, as labelled texts have
+    (20, 360, 40, 20, True),      # exactly 10 %
+    (20, 359, 40, 20, False),     # by the covered part alone
+    (50, 1900, 100, 50, True),
+    (51, 1900, 102, 51, False),   # by the longest repeat alone
+])
+def test_each_limit_rejects_what_passes_the_base(passage, rest, covered, longest, kept):
+    r = quality.judge(pd.Series([repeated(passage, rest)])).iloc[0]
+    assert not r.base_failed and r.n_words == 2 * passage + rest
+    assert (r.n_covered_words, r.longest_repeat, r.kept) == (covered, longest, kept)
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01"])
+def test_labelled_clean_texts_stay(sf):
+    docs = pd.read_parquet(f"{sf}/documents.parquet").merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    judged = quality.judge(docs[docs.quality == 1].text)
+    assert len(judged) and judged.kept[~judged.base_failed].all()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=60))
 def test_longest_repeats(ids):
