@@ -40,7 +40,10 @@ PATTERN = "|".join((
     rf"{_EDGE}\d{{4}}(?<gap>[ -])\d{{4}}\k<gap>\d{{4}}\k<gap>\d{{4}}(?:\k<gap>\d{{1,3}})?{_END}",
     rf"{_EDGE}\d{{4}}(?<gapp>[ -])\d{{6}}\k<gapp>\d{{5}}{_END}",
     # telephone numbers
-    rf"(?<![\p{{L}}\p{{N}}+])\+\d{{1,3}}(?:[ .-]?\(?\d{{1,4}}\)?){{2,5}}{_END}",
+    # with a plus sign, of 7 digits or more and no decimal number
+    rf"(?<![\p{{L}}\p{{N}}+])\+(?!\d++[.,]\d{{1,6}}+(?!\d|[ .()-]{{1,2}}\d))"
+    rf"(?!\d{{4,}}+[.,]\d{{1,6}}+(?![\d.]))"
+    rf"(?:[1-9](?:[ .-]?\(?\d\)?){{6,14}}|\d{{7,23}}){_END}",
     rf"{_EDGE}\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}{_END}",
     rf"(?<![\p{{L}}\p{{N}}.-])\d{{3}}(?<dash>[ .-])\d{{3}}\k<dash>\d{{4}}(?![.-]?[\p{{L}}\p{{N}}])",
     # keys and tokens
@@ -61,6 +64,8 @@ ENDINGS = {
     "latin": ("n", "a", "l"), "cyrillic": ("н", "я", "л"), "greek": ("ς", "α", "ν"),
 }
 MOST_ROUNDS = 50
+#: After so many rounds a short format gets longer by a character with every round.
+SAME_LENGTH_ROUNDS = 6
 
 
 def _kind(raw: Column) -> Column:
@@ -133,7 +138,11 @@ def _luhn_odd(digits: Column) -> Column:
 
 
 def _drawn(secret: str) -> Column:
-    """The surrogate of an entity (kind, norm, attempt), of the length of ``norm`` but for names."""
+    """The surrogate of an entity (kind, norm, attempt), of the length of ``norm`` but for names.
+
+    A mail address, telephone or social security number that found no free surrogate of its own
+    length gets characters added, so a narrow format never runs out.
+    """
     hexes, norm, kind = F.col("hexes"), F.col("norm"), F.col("kind")
     tld = F.length(F.substring_index(norm, ".", -1))
 
@@ -159,6 +168,15 @@ def _drawn(secret: str) -> Column:
         (kind == "card") & (_luhn_odd(norm) % 10 == 0),
         F.concat(head, ((10 - _luhn_odd(F.concat(head, F.lit("0"))) % 10) % 10).cast("string")),
     ).otherwise(F.col("written"))
+    more = F.col("attempt") - SAME_LENGTH_ROUNDS + 1
+
+    def added(j: Column) -> Column:
+        n = _number(hexes, F.length(norm) + j)
+        return F.when(kind == "email", _letter("abcdefghijklmnopqrstuvwxyz", n)).otherwise(
+            (n % 10).cast("string"))
+
+    longer = F.concat("written", F.array_join(F.transform(F.sequence(F.lit(1), more), added), ""))
+    luhn = F.when(kind.isin("email", "phone", "ssn") & (more > 0), longer).otherwise(luhn)
     address = F.concat_ws(".", *[(_number(hexes, F.lit(i)) % 254 + 1).cast("string") for i in range(1, 5)])
     # three syllables, and one more for every third attempt
     syllables = F.least(F.col("attempt") / 3, F.lit(9)).cast("int") + 3
@@ -221,6 +239,8 @@ def _formatted() -> Column:
         return F.when(c.rlike(r"[\p{L}\p{N}]") | (kind == "email"), new).otherwise(c)
 
     written = F.array_join(F.transform(F.sequence(F.lit(1), F.length(piece)), like), "")
+    beyond = F.expr("substring(core, length(norm) + 1)")
+    written = F.when(kind == "email", F.concat(beyond, written)).otherwise(F.concat(written, beyond))
     capital = F.concat(F.upper(F.substring(core, 1, 1)), F.expr("substring(core, 2)"))
     all_upper = (F.upper(piece) == piece) & (F.length(piece) > 1)
     return (

@@ -110,6 +110,26 @@ def test_collisions_are_drawn_again(spark, monkeypatch, rounds):
     assert not set(got.values()) & set(numbers)
 
 
+def test_plus_signs_are_no_telephones(spark):
+    clean = "+250 +100 +12.5 +0.35 +2021 +1234567.25 +1234567,25 +0.12345 by +1 000 or +3-4 and +12 34 56"
+    phones = ["+49 30 1234567", "+1.5557713333", "+33 6 12 34 56 78", "+10175557713", "+44 (0)20 7946 0958"]
+    got = redacted(spark, [clean, *[f"call {p}, now" for p in phones]])
+    assert got[0].pii == [] and got[0].text == clean
+    for i, p in enumerate(phones, 1):
+        (made,) = got[i].pii
+        assert made.kind == "phone" and re.sub(r"\d", "9", made.surrogate) == re.sub(r"\d", "9", p)
+        assert got[i].text == f"call {made.surrogate}, now" and made.surrogate != p
+
+
+def test_narrow_formats_never_run_out(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [f"mail {a}@{b}.co." for a in letters for b in letters]  # every address of this format
+    got = redacted(spark, texts)
+    made = [got[i].pii[0].surrogate for i in range(len(texts))]
+    assert len(set(made)) == len(texts) and all(re.fullmatch(r"[a-z]+@[a-z]\.co", m) for m in made)
+    assert not {f"mail {m}." for m in made} & set(texts)
+
+
 def test_keyed(spark):
     df = spark.createDataFrame([(1, TEXTS[0])], "doc_id long, text string")
     assert pii.pseudonymize(df, "a").first().text != pii.pseudonymize(df, "b").first().text
