@@ -4,7 +4,8 @@ One pattern finds the entities of a text. Every entity of a type gets a keyed su
 type and format: digits for digits, letters for letters, names of the same gender and script. Surrogates
 are drawn for the distinct entities of all texts at once and checked: no two entities share one, and
 none is an entity itself; what collides is drawn again. One entity has one surrogate wherever and
-however it is written, so texts still tell who is who.
+however it is written, so texts still tell who is who. The names that a text holds after a form of
+address are found again where they stand without one in that text.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ PATTERN = "|".join((
     # network addresses
     rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[\p{{L}}\p{{N}}])",
     rf"(?<![\p{{L}}\p{{N}}:])(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}{_END}",
+    # compressed, from a whole first group on, so that a slice like [1::2] is none
+    r"(?<![\p{L}\p{N}:.])(?=[A-Fa-f:]*+[0-9])[0-9A-Fa-f]{4}(?::[0-9A-Fa-f]{1,4}){0,6}::"
+    r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\p{L}\p{N}:])",
     # bank accounts, social security numbers, cards
     rf"{_EDGE}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}",
     rf"(?<![\p{{L}}\p{{N}}-])\d{{3}}-\d{{2}}-\d{{4}}(?!-?[\p{{L}}\p{{N}}])",
@@ -46,6 +50,11 @@ PATTERN = "|".join((
     rf"(?:[1-9](?:[ .-]?\(?\d\)?){{6,14}}|\d{{7,23}}){_END}",
     rf"{_EDGE}\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}{_END}",
     rf"(?<![\p{{L}}\p{{N}}.-])\d{{3}}(?<dash>[ .-])\d{{3}}\k<dash>\d{{4}}(?![.-]?[\p{{L}}\p{{N}}])",
+    # and of a country's own form: in pairs, after an area code, after 00
+    rf"(?<![\p{{L}}\p{{N}}.,+:/-])0[1-9](?<pair>[ .-])\d{{2}}(?:\k<pair>\d{{2}}){{3}}(?![.-]?[\p{{L}}\p{{N}}])",
+    r"(?<![\p{L}\p{N}.,+:/-])(?:0[1-9]\d{1,4}(?: ?/ ?|[ -])|\(0[1-9]\d{1,4}\) ?)"
+    r"\d{3,4}[ -]?\d{3,5}(?![.,/:-]?[\p{L}\p{N}])",
+    rf"(?<![\p{{L}}\p{{N}}.,+:/-])00[1-9]\d{{0,2}}[ .-](?:[ .-]?\(?\d\)?){{6,12}}{_END}",
     # keys and tokens
     rf"{_EDGE}(?=[0-9]*+[A-Fa-f])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{{32,}}+{_END}",
     rf"{_EDGE}(?:AKIA[0-9A-Z]{{16}}|gh[oprsu]_[A-Za-z0-9]{{36,}}|sk-[A-Za-z0-9]{{20,}}){_END}",
@@ -53,13 +62,17 @@ PATTERN = "|".join((
     rf"{_EDGE}(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}",
 ))
 
+#: A word that may be a name, and what may follow the name in it: a genitive, a dash.
+WORD = rf"{_EDGE}{_NAME}"
+_SUFFIX = r"(?:['’][sS])?['’-]*$"
+
 #: Syllables of names, per script; fixed values.
 SYLLABLES = {
     "latin": "ba de fi go ha ke li mo na pe ri so ta ve wi zu".split(),
     "cyrillic": "ба де фи го ха ке ли мо на пе ри со та ве ви зу".split(),
     "greek": "βα δε φι γο χα κε λι μο να πε ρι σο τα βε θι ζυ".split(),
 }
-#: What a name of a kind ends in; surnames and names of unknown gender share an ending.
+#: What a male, a female and another name ends in: surnames and names of unknown gender.
 ENDINGS = {
     "latin": ("n", "a", "l"), "cyrillic": ("н", "я", "л"), "greek": ("ς", "α", "ν"),
 }
@@ -72,10 +85,11 @@ def _kind(raw: Column) -> Column:
     return (
         F.when(raw.contains("@"), "email")
         .when(raw.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
-        .when(raw.rlike(r"^[0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4}){7}$"), "ipv6")
+        .when(raw.rlike(r"^[0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4}){7}$|^[0-9A-Fa-f:]*::[0-9A-Fa-f:]*$"), "ipv6")
         .when(raw.rlike(rf"^(?:{_TITLE})\.? "), "name")
         .when(raw.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(raw.rlike(r"^\+|^\(|^\d{3}([ .-])\d{3}\1\d{4}$"), "phone")
+        .when(raw.rlike(r"^0\d+[ ./-]") & ~raw.rlike(r"^\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}|\d{6}\1\d{5}$)"), "phone")
         .when(raw.rlike(r"^\d[\d -]+$"), "card")
         .when(raw.rlike(r"^[0-9A-Fa-f]{32,}$"), "hex")
         .when(raw.rlike(r"^[A-Z]{2}\d\d[ A-Z0-9]+$") & ~raw.startswith("AKIA"), "iban")
@@ -88,25 +102,35 @@ def _title(raw: Column) -> Column:
 
 
 def _units(raws: DataFrame) -> DataFrame:
-    """(raw, at, kind, piece, norm): what is replaced in a raw entity; a name has several pieces."""
+    """(raw, at, kind, piece, norm): what is replaced in a raw entity; a name has several pieces.
+
+    A word of a name is one entity in whatever place and after whatever title it stands; it has the
+    gender that titles tell of it as a first name, if they agree.
+    """
     title = F.regexp_replace(_title(F.col("raw")), r"\.? $", "")
-    gender = F.when(title.isin(*MALE), "m").when(title.isin(*FEMALE), "f").otherwise("n")
+    gender = F.when(title.isin(*MALE), "m").when(title.isin(*FEMALE), "f")
     words = F.split(F.regexp_replace("raw", rf"^(?:{_TITLE})\.? ", ""), " ")
     pieces = F.when(F.col("kind") == "name", words).otherwise(F.array("raw"))
     exploded = raws.withColumn("gender", gender).select(
         "raw", "kind", "gender", F.size(pieces).alias("n"), F.posexplode(pieces).alias("at", "piece"))
-    script = (F.when(F.col("piece").rlike(r"^\p{IsCyrillic}"), "cyrillic")
-              .when(F.col("piece").rlike(r"^\p{IsGreek}"), "greek").otherwise("latin"))
-    kind = F.when(F.col("kind") != "name", F.col("kind")).otherwise(F.concat_ws(
-        "_", F.lit("name"), F.when(F.col("at") == F.col("n") - 1, "s").otherwise(F.col("gender")), script))
     bare = F.lower(F.regexp_replace("piece", r"[^\p{L}\p{N}]", ""))
-    whole = F.col("kind").isin("email", "ip", "ipv6", "name")
-    return exploded.select(
-        "raw", "at", kind.alias("kind"), "piece",
-        F.when(whole, F.lower("piece"))
+    whole = F.col("kind").isin("email", "ip", "ipv6")
+    norm = (
+        F.when(F.col("kind") == "name", F.lower(F.regexp_replace("piece", _SUFFIX, "")))
+        .when(whole, F.lower("piece"))
         # a key's upper and lower case letters differ, but for hex digits
-        .when(F.col("kind") == "secret", F.col("piece")).otherwise(bare).alias("norm"),
+        .when(F.col("kind") == "secret", F.col("piece")).otherwise(bare)
     )
+    units = stored(exploded.withColumn("norm", norm), "pieces")
+    told = units.where((F.col("kind") == "name") & (F.col("at") < F.col("n") - 1)).groupBy("norm").agg(
+        F.min("gender").alias("one"), F.max("gender").alias("two"))
+    told = told.where(F.col("one") == F.col("two")).select(F.lit("name").alias("kind"), "norm", "one")
+    script = (F.when(F.col("piece").rlike(r"^\p{IsCyrillic}"), "cyrillic")
+              .when(F.col("piece").rlike(r"^\p{IsGreek}"), "greek").otherwise("latin"))
+    kind = F.when(F.col("kind") != "name", F.col("kind")).otherwise(
+        F.concat_ws("_", F.lit("name"), F.coalesce("one", F.lit("s")), script))
+    return units.join(told, ["kind", "norm"], "left").select(
+        "raw", "at", kind.alias("kind"), "piece", "norm")
 
 
 def _bytes(secret: str) -> Column:
@@ -150,6 +174,7 @@ def _drawn(secret: str) -> Column:
         c, n = norm.substr(i.cast("int"), F.lit(1)), _number(hexes, i)
         kept = ((kind == "email") & (i > F.length(norm) - tld)) | (
             (kind == "phone") & (i == 1) & (F.length(norm) > 10)) | (
+            (kind == "phone") & (i <= F.length(F.regexp_extract(norm, "^0{0,2}", 0)))) | (
             (kind == "iban") & (i <= 2)) | (
             (kind == "secret") & (i <= 4))
         return (
@@ -177,6 +202,8 @@ def _drawn(secret: str) -> Column:
 
     longer = F.concat("written", F.array_join(F.transform(F.sequence(F.lit(1), more), added), ""))
     luhn = F.when(kind.isin("email", "phone", "ssn") & (more > 0), longer).otherwise(luhn)
+    groups = F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(29), F.lit(4)), lambda i: hexes.substr(i, F.lit(4))), ":")
     address = F.concat_ws(".", *[(_number(hexes, F.lit(i)) % 254 + 1).cast("string") for i in range(1, 5)])
     # three syllables, and one more for every third attempt
     syllables = F.least(F.col("attempt") / 3, F.lit(9)).cast("int") + 3
@@ -192,7 +219,8 @@ def _drawn(secret: str) -> Column:
 
     names = [(kind.endswith(script), name(script)) for script in SYLLABLES]
     final = reduce(lambda rest, x: F.when(x[0], x[1]).otherwise(rest), names, luhn)
-    final = F.when(kind == "ip", address).otherwise(final)
+    final = F.when(kind == "ip", address).when(
+        (kind == "ipv6") & norm.contains("::"), groups).otherwise(final)
     return written, final
 
 
@@ -242,25 +270,42 @@ def _formatted() -> Column:
     beyond = F.expr("substring(core, length(norm) + 1)")
     written = F.when(kind == "email", F.concat(beyond, written)).otherwise(F.concat(written, beyond))
     capital = F.concat(F.upper(F.substring(core, 1, 1)), F.expr("substring(core, 2)"))
-    all_upper = (F.upper(piece) == piece) & (F.length(piece) > 1)
+    suffix = F.regexp_extract(piece, _SUFFIX, 0)
+    bare = F.regexp_replace(piece, _SUFFIX, "")
+    all_upper = (F.upper(bare) == bare) & (F.length(bare) > 1)
+    name = F.concat(F.when(all_upper, F.upper(core)).otherwise(capital), suffix)
+    has_letters = (F.upper(piece) == piece) & piece.rlike("[A-F]")
     return (
-        F.when(kind.startswith("name"), F.when(all_upper, F.upper(core)).otherwise(capital))
+        F.when(kind.startswith("name"), name)
+        .when((kind == "ipv6") & piece.contains("::"), F.when(has_letters, F.upper(core)).otherwise(core))
         .when(kind.isin("ip", "secret"), core).otherwise(written)
     )
 
 
 def replacements(raws: DataFrame, secret: str) -> DataFrame:
-    """(raw, kind, surrogate) of distinct raw entities."""
+    """(raw, kind, surrogate, words) of distinct raw entities; ``words`` are (norm, core) of a name."""
     units = stored(_units(raws.select("raw", _kind(F.col("raw")).alias("kind"))), "units")
     cores = surrogates(stored(units.select("kind", "norm").distinct(), "entities"), secret)
     pieces = units.join(cores, ["kind", "norm"]).select(
-        "raw", "at", F.split("kind", "_")[0].alias("kind"), _formatted().alias("new"))
-    return pieces.groupBy("raw").agg(
-        F.min("kind").alias("kind"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))),
-                                 lambda p: p["new"]), " ").alias("new"),
-    ).select("raw", "kind", F.concat(F.when(F.col("kind") == "name", _title(F.col("raw")))
-                                     .otherwise(""), "new").alias("surrogate"))
+        "raw", "at", F.split("kind", "_")[0].alias("kind"), _formatted().alias("new"), "norm", "core")
+    made = pieces.groupBy("raw").agg(
+        F.min("kind").alias("kind"), F.array_sort(F.collect_list(F.struct("at", "new", "norm", "core"))).alias("p"))
+    # an initial or a pronoun is no name by itself
+    words = F.filter(F.when(F.col("kind") == "name", F.col("p")), lambda p: F.length(p["norm"]) > 1)
+    new = F.array_join(F.transform("p", lambda p: p["new"]), " ")
+    return made.select(
+        "raw", "kind",
+        F.concat(F.when(F.col("kind") == "name", _title(F.col("raw"))).otherwise(""), new).alias("surrogate"),
+        F.transform(words, lambda p: F.struct(p["norm"].alias("norm"), p["core"].alias("core"))).alias("words"))
+
+
+def _again(word: Column, names: Column) -> Column:
+    """(kind, surrogate) of a word that is a name of its text, null of another."""
+    bare, suffix = F.regexp_replace(word, _SUFFIX, ""), F.regexp_extract(word, _SUFFIX, 0)
+    core = names[F.lower(bare)]
+    new = F.when(F.upper(bare) == bare, F.upper(core)).otherwise(
+        F.concat(F.upper(F.substring(core, 1, 1)), F.substring(core, 2, 1000)))
+    return F.when(core.isNotNull(), F.struct(F.lit("name").alias("kind"), F.concat(new, suffix).alias("surrogate")))
 
 
 def pseudonymize(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
@@ -280,8 +325,10 @@ def pseudonymize(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
         hashed.select("__one", "__two", F.explode(F.array_distinct(found)).alias("raw")).distinct(),
         "mentions")
     new = stored(replacements(mentions.select("raw").distinct(), secret), "replacements")
+    words = F.array_distinct(F.flatten(F.collect_list("words")))
     maps = mentions.join(new, "raw").groupBy("__one", "__two").agg(
-        F.map_from_entries(F.collect_list(F.struct("raw", F.struct("kind", "surrogate")))).alias("__map"))
+        F.map_from_entries(F.collect_list(F.struct("raw", F.struct("kind", "surrogate")))).alias("__map"),
+        F.when(F.size(words) > 0, F.map_from_entries(words)).alias("__names"))
     given = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "pii" and c != text]
     # by its hashes, since the map's side is small now and may not be later
     joined = hashed.join(maps.hint("merge"), ["__one", "__two"], "left")
@@ -289,6 +336,23 @@ def pseudonymize(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:
     between = F.split(F.col(f"`{text}`"), PATTERN, -1)
     filled = F.array_join(F.zip_with(
         between, marks, lambda b, m: F.concat(b, F.coalesce(m["surrogate"], F.lit("")))), "")
+    # in texts with names also the words between the entities
+    names = F.col("__names")
+
+    def in_between(b: Column) -> Column:
+        bare = F.regexp_extract_all(b, F.lit(WORD), F.lit(0))
+        return F.array_join(F.zip_with(F.split(b, WORD, -1), bare, lambda gap, w: F.concat(
+            gap, F.coalesce(_again(w, names)["surrogate"], w, F.lit("")))), "")
+
+    def marks_between(b: Column, m: Column) -> Column:
+        bare = F.regexp_extract_all(b, F.lit(WORD), F.lit(0))
+        new = F.filter(F.transform(bare, lambda w: _again(w, names)), lambda x: x.isNotNull())
+        return F.concat(new, F.filter(F.array(m), lambda x: x.isNotNull()))
+
+    filled = F.when(names.isNotNull(), F.array_join(F.zip_with(
+        between, marks, lambda b, m: F.concat(in_between(b), F.coalesce(m["surrogate"], F.lit("")))), "")
+    ).otherwise(filled)
+    marks = F.when(names.isNotNull(), F.flatten(F.zip_with(between, marks, marks_between))).otherwise(marks)
     none = F.expr("cast(array() as array<struct<kind: string, surrogate: string>>)")
     has = F.col("__map").isNotNull()
     made = joined.select(

@@ -130,6 +130,40 @@ def test_narrow_formats_never_run_out(spark):
     assert not {f"mail {m}." for m in made} & set(texts)
 
 
+def test_names_again_without_a_title(spark):
+    texts = ["Mr. John Smith came. Smith said that JOHN is Smith's name, not Smithson or smith; I, Dr John Smith.",
+             "Smith and John of another text stay.", "Prof John Ng", "Frau Maria Ng's cat; Anna met Maria."]
+    got = redacted(spark, texts)
+    first, last = got[0].pii[0].surrogate.split()[1:]
+    assert got[0].text == (f"Mr. {first} {last} came. {last} said that {first.upper()} is {last}'s name, "
+                           f"not Smithson or smith; I, Dr {first} {last}.")
+    assert [p.surrogate for p in got[0].pii] == [
+        f"Mr. {first} {last}", last, first.upper(), f"{last}'s", f"Dr {first} {last}"]
+    assert {p.kind for p in got[0].pii} == {"name"} and first.endswith("n")
+    assert got[1].text == texts[1] and got[1].pii == []
+    assert got[2].text.split()[1] == first
+    maria, ng = got[3].pii[0].surrogate.split()[1:]
+    assert got[3].text == f"Frau {maria} {ng} cat; Anna met {maria}." and maria.endswith("a")
+    assert ng == got[2].text.split()[2] + "'s"
+
+
+def test_more_forms(spark):
+    phones = ["030 1234567", "030/1234567", "0171-1234567", "(030) 1234567", "020 7946 0958", "01 23 45 67 89",
+              "0049 30 1234567"]
+    nets = ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:DB8::"]
+    clean = ["a[::2] x[1::2] std::dec Dead::Beef 12:30:45 01-02-2024 2024-01-02 0.123 4567 007 0800"]
+    got = redacted(spark, [f"at {x}, so" for x in phones + nets] + clean)
+    for i, x in enumerate(phones + nets):
+        (made,) = got[i].pii
+        assert x not in got[i].text and got[i].text == f"at {made.surrogate}, so"
+        if i < len(phones):
+            assert made.kind == "phone" and re.sub(r"\d", "9", made.surrogate) == re.sub(r"\d", "9", x)
+            assert made.surrogate.lstrip("(")[0] == "0"
+        else:
+            assert made.kind == "ipv6" and re.fullmatch(r"([0-9a-fA-F]{4}:){7}[0-9a-fA-F]{4}", made.surrogate)
+    assert got[len(phones + nets)].text == clean[0]
+
+
 def test_keyed(spark):
     df = spark.createDataFrame([(1, TEXTS[0])], "doc_id long, text string")
     assert pii.pseudonymize(df, "a").first().text != pii.pseudonymize(df, "b").first().text
