@@ -55,8 +55,11 @@ TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""",
-                       re.IGNORECASE)
+#: One attribute, its name and value; all are read in order, so no value is taken for a name.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+TELLING = frozenset("class id role hidden aria-hidden".split())
+#: Class words before a bad one that say that the page has such a part, or lacks it.
+HAS_OR_NOT = frozenset("has have with no non without".split())
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 
@@ -86,9 +89,15 @@ def _mark(tag: str, attributes: str, inherited: float) -> float:
     good = False
     for name, value in ATTRIBUTE.findall(attributes):
         name = name.lower()
+        if name not in TELLING:
+            continue
         if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
             return INSIDE_BAD
-        words = {w.lower() for w in NAME_PART.findall(value)}
+        words = set()
+        for token in value.strip("\"'").split():
+            parts = [w.lower() for w in NAME_PART.findall(token)]
+            # has-sidebar and no-ads tell of the page, not of this element
+            words.update(parts if not parts or parts[0] not in HAS_OR_NOT else ())
         if words & BAD_WORDS:
             return INSIDE_BAD
         good = good or bool(words & GOOD_WORDS)

@@ -64,6 +64,15 @@ def test_page_without_markers():
     assert html.main_text(page).split("\n") == [clean(LONG), "Short one.", clean(LONG)]
 
 
+def test_attributes_are_read_by_name():
+    body = f"<p>{LONG}</p>"
+    for wrapper in ('style="overflow:hidden"', 'data-id="nav"', 'class="page has-sidebar"', 'class="main no-ads"',
+                    "title='hidden menu'"):
+        assert html.main_text(f"<div {wrapper}>{body}</div>") == clean(LONG), wrapper
+    for wrapper in ("hidden", 'class="x" hidden=""', 'aria-hidden="true"', 'id="sidebar"', "class='ads'"):
+        assert html.main_text(f"<div {wrapper}>{body}</div>") == "", wrapper
+
+
 def test_odd_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p> </p><!-- x") == ""
     assert html.main_text("<article><p>cut <b>off") == "cut off"
