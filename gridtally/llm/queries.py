@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridtally.functions import compute_once
 from gridtally.llm import (
-    chat, embeddings, html, jaccard, mixing, packing, pii, quality, shards, substrings,
+    chat, classifier, embeddings, html, jaccard, mixing, packing, periods, pii, quality, repair,
+    shards, substrings,
 )
-from gridtally.llm.common import new_path
+from gridtally.llm.common import WORD, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -114,3 +116,79 @@ PII_SECRET = "supplied tables"
 def op1_pii_surrogates(spark, sf):
     made = pii.pseudonymize(table(spark, sf, "documents"), PII_SECRET)
     return made.select("doc_id", "text", F.size("pii").alias("n_entities"), "pii")
+
+
+@query
+def op11_subword_quality(spark, sf):
+    made = classifier.assess(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return made.select(
+        "doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality_score").alias("score"), F.col("quality_predicted").alias("predicted"),
+    )
+
+
+def looped(docs):
+    """The documents, of which one in ten by the hash of its id goes on in a loop of its own words.
+
+    Documents without an id or without words stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def loop(words):
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(
+            F.get(words, (a + (i - a) % p).cast("int")))), " ")
+
+    # In an array of one, so that the words are cut once and not for every word again.
+    words = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    text = F.when(h % 10 == 0, F.transform(words, loop)[0]).otherwise(F.col("text"))
+    # A column of its own: Spark does not find a Python call over an expression with lambdas.
+    return compute_once(docs.select("doc_id", "text"), {"looped": text}).select(
+        "doc_id", F.col("looped").alias("text"))
+
+
+@query
+def op12_cover_runs(spark, sf):
+    made = periods.assess(looped(table(spark, sf, "documents")))
+    runs = F.col("periods.runs")
+    best = F.array_max(F.transform(runs, lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    lines = F.transform(runs, lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n")))
+    listed = made.select("doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("best"),
+                         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                         F.sha2("periods.kept", 256).alias("collapsed_sha256"), "periods.n_words")
+    return listed.select(
+        "doc_id", "n_runs", (-F.col("best.before")).alias("start"), "best.length",
+        (-F.col("best.shorter")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.shorter")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256", "n_words",
+    )
+
+
+def damaged(rows):
+    """The rows of conversations, some dropped, emptied, cut, repeated or given another role by hash.
+
+    A dropped row stays as one that is not ``present``.
+    """
+    def known(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    hit = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20
+    text = F.when(hit == 1, "").when(hit == 2, F.regexp_replace(known("text"), "[.!?]", ""))
+    copies = F.when(hit == 0, 0).when(hit == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id", "turn", F.when(hit == 4, "user").otherwise(known("role")).alias("role"),
+        text.otherwise(known("text")).alias("text"),
+        F.explode_outer(F.array_repeat(F.lit(True), copies)).alias("present"),
+    )
+
+
+@query
+def op13_lightest_repair(spark, sf):
+    rows = damaged(table(spark, sf, "conversations"))
+    return repair.repair_conversations(rows, present="present")

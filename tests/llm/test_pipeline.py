@@ -2,6 +2,7 @@
 
 import re
 
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
@@ -82,4 +83,4 @@ def test_odd_rows(spark, tmp_path):
 def test_registered():
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in __spark_entry__.queries() if q.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
