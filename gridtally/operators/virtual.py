@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.functions import formula, numbers, text, times
+from gridtally.operators import formula_graph
 from gridtally.operators.queue import OWN
 from gridtally.schemas import AMOUNT, DEFAULT_MAX_VALUE, HOUR_COLUMNS, HOUR_KEY
+from gridtally.sources.shared import Store, stored
 
 DECIMALS = 2
 METRICS = ("value", "real_value", "rate")
@@ -34,27 +38,68 @@ def formula_inputs(compiled: DataFrame, item_codes: DataFrame) -> DataFrame:
     return refs.join(sources, "item_id")
 
 
+def dependencies(compiled: DataFrame, inputs: DataFrame) -> DataFrame:
+    """The inputs that are virtual items themselves, on the side of the item that reads them."""
+    virtual = compiled.select(
+        F.col("item_name").alias("source_name"), F.col("type_id").alias("source_type_id"),
+        F.col("type").alias("source_type"),
+    )
+    return (
+        inputs.join(virtual, formula_graph.SOURCE).where(_same_side()).select(*formula_graph.EDGE)
+    )
+
+
+def _same_side() -> Column:
+    return text.is_electric(F.col("type")) == text.is_electric(F.col("source_type"))
+
+
 def virtual_hour(
-    hour_rows: DataFrame, virtual_items: DataFrame, item_codes: DataFrame, queue: DataFrame
+    hour_rows: DataFrame, virtual_items: DataFrame, item_codes: DataFrame, queue: DataFrame,
+    store: Store = stored,
 ) -> DataFrame:
-    """Hour rows of virtual items.
+    """Hour rows of virtual items, also of those whose formulas read virtual items.
 
     A row appears for an hour when the item's own collector is queued (type own) for the next
     hour and at least one input has a valid row. A result that no amount can hold counts as
     0, like that of a faulty formula, and is never valid. Inputs come from the item's own side,
     electric or not; a missing input is 0. The inputs of one formula and hour are grouped
     into a map, which is as large as the formula is long.
+
+    Items are computed level by level, one join each, so that every input is there before it is
+    read. Items that read themselves, directly or by way of others, have no rows. ``store`` keeps
+    the rows of a level for the next; where no formula reads a virtual item it is not used.
     """
     compiled = definitions(virtual_items)
+    inputs = formula_inputs(compiled, item_codes)
+    order = formula_graph.levels(compiled, dependencies(compiled, inputs), store)
+    if len(order) == 1:
+        mine = compiled.join(order[0], formula_graph.NODE, "left_semi")
+        return _level(hour_rows, mine, inputs, queue)
+    # What every level reads again.
+    compiled, inputs = store(compiled, "formulas"), store(inputs, "inputs")
+    queue = store(queue.where(F.col("type") == OWN).distinct(), "due")
+    made: list[DataFrame] = []
+    known = hour_rows.select(*HOUR_COLUMNS)
+    for n, items in enumerate(order):
+        mine = compiled.join(items, formula_graph.NODE, "left_semi")
+        made.append(store(_level(known, mine, inputs, queue), f"virtual_level{n}"))
+        known = known.unionByName(made[-1])
+    return reduce(DataFrame.unionByName, made)
+
+
+def _level(
+    hour_rows: DataFrame, compiled: DataFrame, inputs: DataFrame, queue: DataFrame
+) -> DataFrame:
+    """Hour rows of items whose inputs all are among ``hour_rows``."""
+    inputs = inputs.join(compiled.select(*formula_graph.NODE), formula_graph.NODE, "left_semi")
     valid = hour_rows.where(F.col("error") == 0).select(
         F.col("item_name").alias("source_name"), F.col("type_id").alias("source_type_id"),
         "date_time", F.col("type").alias("source_type"),
         F.struct(*[F.col(m).cast("double").alias(m) for m in METRICS]).alias("amounts"),
     )
-    same_side = text.is_electric(F.col("type")) == text.is_electric(F.col("source_type"))
     gathered = (
-        valid.join(formula_inputs(compiled, item_codes), ["source_name", "source_type_id"])
-        .where(same_side)
+        valid.join(inputs, formula_graph.SOURCE)
+        .where(_same_side())
         .groupBy("item_name", "type_id", "date_time")
         .agg(F.map_from_entries(F.collect_list(F.struct("item_id", "amounts"))).alias("inputs"))
     )

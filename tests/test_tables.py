@@ -175,3 +175,76 @@ def test_virtual_changes(spark):
     new = hour_rows(spark, [("V", 1, "8"), ("V", 2, "7"), ("V", 3, "1")])
     got = {r.date_time: (r.is_new, float(r.change_value)) for r in virtual.changes(new, old).collect()}
     assert got == {at(1): (False, 3.0), at(3): (True, 1.0)}
+
+
+def formula_dimensions(spark, formulas):
+    """Dimensions of one collector with a meter 1, and virtual items by id and formula."""
+    d = dimensions(spark)
+    frame = spark.createDataFrame
+    return dims.Dimensions(
+        d.building, d.collector,
+        frame([(1, "m1", 1, 11, None, None, None),
+               *[(i, f"v{i}", 1, 11, None, None, None) for i in formulas]],
+              "id int, code string, collector_id int, data_type int, max_value double,"
+              " coefficient double, subentry int"),
+        d.item_type, frame(list(formulas.items()), "item_id int, formula string"), d.subentry,
+    )
+
+
+def own_hours(spark, hours):
+    return spark.createDataFrame(
+        [("B0", "G0", at(h + 1).strftime("%Y%m%d%H"), 0) for h in hours], QUEUE_SCHEMA)
+
+
+def by_recursion(formulas, meter):
+    """Values of sums over ids and constants by plain recursion; None for members of cycles."""
+    parts = {i: [p for p in f.split() if p != "+"] for i, f in formulas.items()}
+    refs = {i: {int(p) for p in ps if p.isdigit()} & set(formulas) for i, ps in parts.items()}
+
+    def reaches(a, b, seen=()):
+        return any(r == b or (r not in seen and reaches(r, b, (*seen, r))) for r in refs[a])
+
+    cyclic = {i for i in formulas if reaches(i, i)}
+
+    def value(i):
+        if i in cyclic or i not in formulas:
+            return meter if i == 1 else None
+        found = [value(int(p)) for p in parts[i] if p.isdigit()]
+        if all(v is None for v in found):
+            return None
+        return sum(v or 0 for v in found) + sum(float(p[1:]) for p in parts[i] if not p.isdigit())
+
+    return {i: value(i) for i in formulas}
+
+
+@pytest.mark.parametrize("formulas", [
+    {10: "1 + d1", 11: "10 + 1", 12: "11 + 10", 13: "12 + d2"},
+    {10: "11 + 1", 11: "10 + 1", 12: "10 + 1", 13: "12 + 11", 14: "14 + 1", 15: "14 + 10"},
+    {10: "11", 11: "12 + 1", 12: "10", 13: "10 + 20", 20: "21 + 1", 21: "20 + 13 + 1", 30: "20 + 1"},
+    {10: "99 + d5", 11: "10 + 1", 12: "10"},
+])
+def test_nested_formulas(spark, formulas):
+    d = formula_dimensions(spark, formulas)
+    hours = hour_rows(spark, [("m1", 0, "7"), ("m1", 1, "9", 2), ("m1", 2, "3")])
+    got = {(r.item_name, r.date_time): float(r.value) for r in virtual.virtual_hour(
+        hours, d.virtuals, d.codes, own_hours(spark, range(3))).collect()}
+    want = {}
+    for hour, meter in ((0, 7.0), (2, 3.0)):
+        for i, v in by_recursion(formulas, meter).items():
+            if v is not None:
+                want[f"B0_G0_v{i}", at(hour)] = v
+    assert got == want
+
+
+def test_only_cycles_give_nothing(spark):
+    d = formula_dimensions(spark, {10: "11 + 1", 11: "10"})
+    hours = hour_rows(spark, [("m1", 0, "7")])
+    assert virtual.virtual_hour(hours, d.virtuals, d.codes, own_hours(spark, [0])).collect() == []
+
+
+def test_an_invalid_nested_row_is_a_missing_input(spark):
+    d = formula_dimensions(spark, {10: "d1 - 1", 11: "10 + 1", 12: "10"})
+    hours = hour_rows(spark, [("m1", 0, "7")])
+    got = {r.item_name: (float(r.value), r.error) for r in virtual.virtual_hour(
+        hours, d.virtuals, d.codes, own_hours(spark, [0])).collect()}
+    assert got == {"B0_G0_v10": (0.0, 2), "B0_G0_v11": (7.0, 0)}

@@ -6,7 +6,7 @@ from gridtally.operators.casting import STORED_TYPES
 from gridtally.schemas import SUBENTRY_BUCKETS
 
 __all__ = [
-    "FROM", "ITEM", "KEY_FROM", "KEY_SHIFT", "KEY_TO", "MEDIA", "NOW", "POINT", "QUEUE_STAMP",
+    "FROM", "ITEM", "KEY_FROM", "KEY_SHIFT", "KEY_TO", "MEDIA", "NESTED", "NOW", "POINT", "QUEUE_STAMP",
     "SPLIT", "STORED_TYPES", "SUBENTRY_BUCKETS", "SUBENTRY_CODES", "TO", "UNKNOWN_CODE", "VIRTUALS",
 ]
 
@@ -34,3 +34,25 @@ VIRTUALS = [  # id, code, data type, max value, sub-entry, formula
     (2004, "V4", 11, None, None, "9999 + d1"),
     (2005, "V5", 11, None, None, "( 1000 + 1004 ) / d0.5 - d1"),
 ]
+NESTED = [  # id, code, collector, data type, max value, formula
+    (2101, "N1", 1, 11, None, "1000 + 1004"),
+    (2102, "N2", 1, 11, 150.0, "2101 * d2 - 1004"),
+    (2103, "N3", 2, 11, None, "2102 + 2101 * d3 + 1008"),  # third level, another building
+    (2104, "N4", 1, 11, None, "2105 + d1"),  # a cycle of two
+    (2105, "N5", 1, 11, None, "2104 + 1000"),
+    (2106, "N6", 1, 11, None, "2106 + 1000"),  # reads itself
+    (2107, "N7", 1, 11, None, "2105 + 1000 * d3"),  # reads a cycle's member
+    (2108, "N8", 1, 11, None, "2104 + 2106"),  # reads nothing else
+    (2109, "N9", 1, 12, None, "1001 + 2101"),  # an input of the other side
+    (2110, "N10", 1, 11, None, "2107 + 2103"),
+]
+# The same formulas as sums: id, input, factor; and the constants added.
+NESTED_TERMS = [
+    (2101, 1000, 1), (2101, 1004, 1), (2102, 2101, 2), (2102, 1004, -1),
+    (2103, 2102, 1), (2103, 2101, 3), (2103, 1008, 1), (2104, 2105, 1), (2105, 2104, 1),
+    (2105, 1000, 1), (2106, 2106, 1), (2106, 1000, 1), (2107, 2105, 1), (2107, 1000, 3),
+    (2108, 2104, 1), (2108, 2106, 1), (2109, 1001, 1), (2109, 2101, 1), (2110, 2107, 1),
+    (2110, 2103, 1),
+]
+NESTED_ADDED = [(2104, 1)]
+NESTED_LEVELS = 4

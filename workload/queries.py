@@ -390,6 +390,14 @@ def virtual_day_rollup(spark, sf):
     return as_double(rollup.day_rollup(every_hour))
 
 
+@query
+def virtual_nested(spark, sf):
+    """Items over items over meters, in two buildings, and formulas that read themselves."""
+    d = views.nested_dimensions(spark, sf)
+    own = work_queue.data_access_events(views.readings(spark, sf), P.NOW)
+    return as_double(virtual.virtual_hour(_stored_hours(spark, sf), d.virtuals, d.codes, own))
+
+
 # --- work queue
 
 

@@ -253,6 +253,62 @@ VIEWS = {
         JOIN nation ON s_nationkey = n_nationkey""",
 }
 
+
+def _nested() -> dict[str, str]:
+    """Levels and cycles of the nested formulas by recursion, then the rows level by level."""
+    views = {
+        "nested_defs": f"""
+            SELECT n.id, concat_ws('_', b.code, c.code, n.code) AS item_name, n.type_id, n.top,
+                   b.code AS building_code, c.code AS collector_code, m.basic_code AS type,
+                   coalesce(a.added, 0) AS added
+            FROM (VALUES {_rows([n[:5] for n in P.NESTED])}) n(id, code, collector_id, type_id, top)
+            JOIN collectors c ON n.collector_id = c.id JOIN buildings b ON c.building_id = b.id
+            JOIN media m ON n.type_id = m.id
+            LEFT JOIN (VALUES {_rows(P.NESTED_ADDED)}) a(id, added) ON n.id = a.id""",
+        "nested_terms": f"""
+            SELECT t.id, t.source, t.factor, d.type_id
+            FROM (VALUES {_rows(P.NESTED_TERMS)}) t(id, source, factor) JOIN nested_defs d ON t.id = d.id""",
+        "nested_sources": """
+            SELECT id, item_name, data_type AS type_id FROM placed
+            WHERE id NOT IN (SELECT id FROM virtuals)
+            UNION ALL SELECT id, item_name, type_id FROM nested_defs""",
+        "nested_edges": """
+            SELECT t.id, t.source FROM nested_terms t JOIN nested_defs s ON t.source = s.id
+            WHERE (t.type_id = 11) = (s.type_id = 11)""",
+        "nested_reach": """
+            SELECT id, source FROM nested_edges
+            UNION SELECT r.id, e.source FROM nested_reach r JOIN nested_edges e ON r.source = e.id""",
+        "nested_cycles": "SELECT DISTINCT id FROM nested_reach WHERE id = source",
+        "nested_depths": """
+            SELECT id, 0 AS level FROM nested_defs WHERE id NOT IN (SELECT id FROM nested_cycles)
+            UNION SELECT e.id, d.level + 1 FROM nested_depths d JOIN nested_edges e ON e.source = d.id
+            WHERE e.id NOT IN (SELECT id FROM nested_cycles)""",
+        "nested_levels": "SELECT id, max(level) AS level FROM nested_depths GROUP BY id",
+    }
+    known = "SELECT * FROM hourly"
+    for level in range(P.NESTED_LEVELS):
+        sums = ", ".join(
+            f"sum(t.factor * h.{m}) + any_value(d.added) AS {m}" for m in ("value", "real_value", "rate")
+        )
+        views[f"nested_{level}"] = f"""
+            SELECT s.item_name, CAST(s.type_id AS INTEGER) AS type_id, s.date_time,
+                   CASE WHEN s.value > 0 THEN s.value ELSE 0 END AS value, s.real_value, s.rate,
+                   CAST(CASE WHEN s.value >= 0 AND s.value <= coalesce(s.top, 10000) THEN 0 ELSE 2 END
+                        AS INTEGER) AS error, s.type
+            FROM (SELECT d.item_name, d.type_id, d.type, d.top, d.building_code, d.collector_code,
+                         h.date_time, {sums}
+                  FROM nested_levels l JOIN nested_defs d ON l.id = d.id
+                  JOIN nested_terms t ON t.id = d.id JOIN nested_sources n ON t.source = n.id
+                  JOIN ({known}) h ON h.item_name = n.item_name AND h.type_id = n.type_id
+                  WHERE l.level = {level} AND h.error = 0 AND (h.type = 'A') = (d.type = 'A')
+                  GROUP BY ALL) s
+            JOIN own_queue q ON q.build_code = s.building_code AND q.collector_code = s.collector_code
+             AND strptime(q."timestamp" || '0000', '%Y%m%d%H%M%S') - INTERVAL 1 HOUR = s.date_time"""
+        known += f" UNION ALL SELECT * FROM nested_{level}"
+    return views
+
+
+NESTED_VIEWS = _nested()
 PREFIX = "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in VIEWS.items()) + "\n"
 
 HOUR = f"item_name, type_id, date_time, {_double('value', 'real_value', 'rate')}, error, type"
@@ -433,6 +489,8 @@ _QUERIES = {
                 ON v.item_name = p.item_name AND v.type_id = p.type_id AND v.date_time = p.date_time) c
         WHERE is_new OR change_value <> 0""",
     "virtual_day_rollup": f"SELECT {DAY} FROM all_day",
+    "virtual_nested": "WITH RECURSIVE " + ", ".join(f"{n} AS ({b})" for n, b in NESTED_VIEWS.items())
+        + " UNION ALL ".join(f" SELECT {HOUR} FROM nested_{n}" for n in range(P.NESTED_LEVELS)),
     # queue
     "data_access_events": "SELECT * FROM own_queue",
     "queue_pending": f"""SELECT build_code, collector_code, "timestamp" FROM own_queue
@@ -497,6 +555,8 @@ _QUERIES = {
 
 def _with_views(query: str) -> str:
     query = query.strip()
+    if query.startswith("WITH RECURSIVE "):
+        return PREFIX.replace("WITH ", "WITH RECURSIVE ", 1) + ", " + query[len("WITH RECURSIVE "):]
     if query.startswith("WITH "):
         return PREFIX + ", " + query[len("WITH "):]
     return PREFIX + query

@@ -15,7 +15,7 @@ from gridtally.functions import compute_once
 from gridtally.operators import queue as work_queue
 from gridtally.operators.dims import Dimensions
 from gridtally.schemas import READING_FIELDS
-from workload.params import MEDIA, NOW, SUBENTRY_CODES, UNKNOWN_CODE, VIRTUALS
+from workload.params import MEDIA, NESTED, NOW, SUBENTRY_CODES, UNKNOWN_CODE, VIRTUALS
 
 INT, TEXT, REAL = pa.int32(), pa.string(), pa.float64()
 MEDIA_COLUMNS = {"id": INT, "code": TEXT, "basic_code": TEXT, "table_name": TEXT}
@@ -87,8 +87,21 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("event_id", *READING_FIELDS)
 
 
-def meter_dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
-    """Dimensions of the meters seen in ``events``, plus four virtual items."""
+def nested_dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
+    """The same meters with virtual items that read virtual items, some of them in cycles."""
+    items = [(i, code, place, kind, top, None, f) for i, code, place, kind, top, f in NESTED]
+    return meter_dimensions(spark, sf_dir, items)
+
+
+def meter_dimensions(
+    spark: SparkSession, sf_dir: str, virtuals: list[tuple] | None = None
+) -> Dimensions:
+    """Dimensions of the meters seen in ``events``, plus virtual items, which are five if not given.
+
+    ``virtuals`` has id, code, collector, data type, max value, sub-entry and formula.
+    """
+    if virtuals is None:
+        virtuals = [(i, code, 1, kind, top, sub, f) for i, code, kind, top, sub, f in VIRTUALS]
     e = events(spark, sf_dir)
     seen = e.select("x", "event_type").distinct()
     xs = seen.select("x").distinct()
@@ -119,12 +132,12 @@ def meter_dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
     )
     virtual = literal(
         spark,
-        [(i, code, 1, kind, top, None, sub) for i, code, kind, top, sub, _ in VIRTUALS],
+        [(i, code, place, kind, top, None, sub) for i, code, place, kind, top, sub, _ in virtuals],
         {"id": INT, "code": TEXT, "collector_id": INT, "data_type": INT,
          "max_value": REAL, "coefficient": REAL, "subentry": INT},
     )
     item_virtual = literal(
-        spark, [(v[0], v[5]) for v in VIRTUALS], {"item_id": INT, "formula": TEXT}
+        spark, [(v[0], v[6]) for v in virtuals], {"item_id": INT, "formula": TEXT}
     )
     subentry = literal(spark, list(enumerate(SUBENTRY_CODES, 1)), {"id": INT, "code": TEXT})
     return Dimensions(
