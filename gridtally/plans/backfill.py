@@ -74,12 +74,32 @@ def backfill(
         queue = events_of_hour_rows(emitted(amounts, state))
     else:
         queue = data_access_events(readings, now)
-    advance(tables, amounts, queue, batch, state)
-    tables.write_range(start, end, batch)
+    tables.write_hours(emitted(amounts, state), batch)
+    tables.write_state(hourly.last_known(amounts, state), batch)
+    tables.write_queue(queue, batch)
+    # The range hides older runs' rows from here on; it counts as done when all tables have it.
+    tables.write_range(start, end, batch, refreshed=False)
     tables.refresh(dims, days_between(tables, batch, start, end))
+    tables.write_range(start, end, batch)
     return run
 
 
+def resume(
+    tables: MeterTables, history: DataFrame, dims: Dimensions, start: str, end: str, **options,
+) -> list[int]:
+    """Backfills those parts of ``[start, end)`` that no finished step has computed; their runs.
+
+    Steps that failed or were left out are found by subtracting the computed ranges, whatever
+    runs they belong to. A part goes on for an hour beyond its end, so that the row across it is
+    there: the step after it did not know the reading before. ``options`` are those of ``backfill``.
+    """
+    tables.create()
+    return [
+        backfill(tables, history, dims, since, until, **options)
+        for since, until in tables.missing(start, end, beyond=1)
+    ]
+
+
 def days_between(tables: MeterTables, batch: int, start: str, end: str) -> list:
     """The days a step wrote to, and those of its range that hold hour rows of other runs."""
     since, until = (F.to_date(times.parse_time(F.lit(t))) for t in (start, end))
@@ -90,12 +110,3 @@ def days_between(tables: MeterTables, batch: int, start: str, end: str) -> list:
 def emitted(amounts: DataFrame, state: DataFrame) -> DataFrame:
     """Hour rows of one batch, continuing from a state."""
     return hourly.consecutive_hours(hourly.seed_with_state(amounts, state))
-
-
-def advance(
-    tables: MeterTables, amounts: DataFrame, queue: DataFrame, batch: int, state: DataFrame
-) -> None:
-    """Hour, state and queue rows of one batch, from the state before it."""
-    tables.write_hours(emitted(amounts, state), batch)
-    tables.write_state(hourly.last_known(amounts, state), batch)
-    tables.write_queue(queue, batch)

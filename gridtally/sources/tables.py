@@ -100,3 +100,14 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
         .partitionBy(*by)
         .parquet(path)
     )
+
+
+def drop_partitions(spark: SparkSession, path: str, parts: Sequence[dict]) -> None:
+    """Deletes partitions, named by their columns in order; one that is not there is passed over.
+
+    For partitions that no reader asks for any more: they go with their files.
+    """
+    for part in parts:
+        folder = "/".join([path, *[f"{name}={value}" for name, value in part.items()]])
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from gridtally.operators import hourly
 from gridtally.operators.clean import clean_readings
 from gridtally.operators.dims import Dimensions
 from gridtally.operators.queue import data_access_events
-from gridtally.plans.backfill import advance
+from gridtally.plans.backfill import emitted
 from gridtally.plans.tables import MeterTables
 from gridtally.sources.readings import decode_readings
 
@@ -25,22 +26,25 @@ def process_batch(
     position: str | None = None,
     refresh: bool = True,
 ) -> None:
-    """One micro-batch: hour rows, state and queue, then the tables derived from them.
+    """One micro-batch: hour rows, state, queue and marks, then the tables derived from them.
 
-    The batch reads the state its predecessor wrote and writes its own, and it owns its
-    ``batch`` partitions, so a replay after a failure repeats the same writes. With
-    ``refresh`` off, run ``MeterTables.refresh`` for the touched days on a schedule.
+    The batch reads the state of the series it touches and writes what became of them, and it
+    owns its ``batch`` partitions, so a replay after a failure repeats the same writes. Reports of
+    third parties (``MeterTables.report``) are counted once the readings have reached their hour.
+    With ``refresh`` off, run ``MeterTables.refresh`` for the touched days on a schedule.
     """
     readings = decode_readings(records)
     clean = clean_readings(readings, dims.item_type, now, position=position)
     # A row per series and hour of the batch, kept for the hour rows and the state.
     amounts = hourly.with_limits(hourly.hour_firsts(clean), dims.limits).persist()
     try:
-        # The newest state, so that a gap in the batches' numbers loses nothing.
-        state = tables.state(tables.newest_batch("state", below=batch))
-        advance(tables, amounts, data_access_events(readings, now), batch, state)
+        state = tables.state(batch - 1, only=amounts)
+        tables.write_hours(emitted(amounts, state), batch)
+        tables.write_changes(hourly.last_known(amounts, state), batch)
+        tables.write_queue(data_access_events(readings, now), batch)
     finally:
         amounts.unpersist()
+    tables.settle(batch)
     if refresh:
         tables.refresh(dims, tables.touched_days(batch))
 
@@ -49,18 +53,22 @@ def start_live(
     records: DataFrame,
     root: str,
     checkpoint: str,
-    dims: Dimensions,
+    dims: Dimensions | Callable[[], Dimensions],
     now: datetime | str | None = None,
     position: str | None = None,
     trigger: dict | None = None,
     refresh: bool = True,
 ) -> StreamingQuery:
-    """Runs ``process_batch`` on every micro-batch of a record stream (column ``value``)."""
+    """Runs ``process_batch`` on every micro-batch of a record stream (column ``value``).
+
+    Dimensions that change while the job runs are given as a function, called for every batch:
+    it reads the tables anew, so new meters, limits and formulas count from the next batch on.
+    """
     MeterTables(records.sparkSession, root).create()
 
     def process(df: DataFrame, batch: int) -> None:
         tables = MeterTables(df.sparkSession, root)
-        process_batch(df, batch, tables, dims, now, position, refresh)
+        process_batch(df, batch, tables, dims() if callable(dims) else dims, now, position, refresh)
 
     return (
         records.writeStream.foreachBatch(process)

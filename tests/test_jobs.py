@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from gridtally.operators import clean, hourly
 from gridtally.operators.dims import Dimensions
-from gridtally.plans.backfill import backfill
-from gridtally.plans.tables import SCHEMAS, MeterTables
+from gridtally.plans.backfill import backfill, resume
+from gridtally.plans.tables import CHANGE, SCHEMAS, SNAPSHOT, MeterTables
+from gridtally.schemas import QUEUE_SCHEMA
 from gridtally.sources import readings as sources
 from gridtally.sources.tables import replace_partitions
 from gridtally.streaming import hourly as streams
@@ -135,7 +136,7 @@ def tables_of(stored):
     Batches that touch the same hour each queue it, and the queue's readers take distinct
     rows; so do we.
     """
-    names = [n for n in SCHEMAS if n not in ("amounts", "state", "ranges")]
+    names = [n for n in SCHEMAS if n not in ("amounts", "state", "ranges", "ticks")]
     rows = {n: stored.read(n).drop("batch") for n in names}
     rows["queue"] = rows["queue"].distinct()
     return {n: sorted(map(str, df.collect())) for n, df in rows.items()}
@@ -285,3 +286,124 @@ def test_history_is_pruned_by_day(spark, tmp_path):
     after = {r.f for r in spark.read.parquet(path).select(
         F.input_file_name().alias("f")).distinct().collect()}
     assert len(before & after) == 3 and spark.read.parquet(path).count() == 48
+
+
+def reports(spark, rows):
+    """Queue rows of (hour, type) of the one collector."""
+    return spark.createDataFrame(
+        [("B0", "G0", at(h).strftime("%Y%m%d%H"), t) for h, t in rows], QUEUE_SCHEMA)
+
+
+def buckets_of(stored, name="subentry_hour"):
+    return {r.data_time: (float(r.electricity), float(r.electricity_a)) for r in stored.read(name).collect()}
+
+
+def test_third_party_reports_count_once(spark, tmp_path, dims):
+    # m0 counts twice its register (electricity), m1 once (electricity_a); one step an hour
+    slices = [[reading(m, at(h), str(h)) for h in hours for m in ("m0", "m1")]
+              for hours in (range(0, 4), range(4, 7), range(7, 9))]
+    plain = MeterTables(spark, str(tmp_path / "plain")).create()
+    stored = MeterTables(spark, str(tmp_path / "third")).create()
+    for n, part in enumerate(slices):
+        if n == 0:
+            stored.report(reports(spark, [(1, 2), (1, 2), (5, 2), (2, 2), (2, 3), (40, 2)]), 0)
+        if n == 2:
+            stored.report(reports(spark, [(1, 2), (6, 2)]), 1)  # the first of them again
+        for t in (plain, stored):
+            live.process_batch(records(spark, part), n, t, dims, NOW)
+        once = tables_of(stored)
+        live.process_batch(records(spark, part), n, stored, dims, NOW)
+        assert tables_of(stored) == once
+    marks = {(r.timestamp, r.batch) for r in stored.read("marks").collect()}
+    assert marks == {(at(1).strftime("%Y%m%d%H"), 0), (at(5).strftime("%Y%m%d%H"), 1),
+                     (at(6).strftime("%Y%m%d%H"), 2)}
+    own, both = buckets_of(plain), buckets_of(stored)
+    for hour, amounts in own.items():
+        more = (2.0, 1.0) if hour in (at(1), at(5), at(6)) else (0.0, 0.0)
+        assert both[hour] == (amounts[0] + more[0], amounts[1] + more[1])
+    day, more = buckets_of(plain, "subentry_day")[at(0)], buckets_of(stored, "subentry_day")[at(0)]
+    assert more == (day[0] + 6.0, day[1] + 3.0)
+    # a backfill over the same day keeps them
+    backfill(stored, readings(spark, sum(slices, [])), dims, "20240301000000", "20240302000000", NOW)
+    assert buckets_of(stored) == both
+
+
+def test_old_reports_expire_and_keep_their_amounts(spark, tmp_path, dims):
+    stored = MeterTables(spark, str(tmp_path / "t")).create()
+    first = [reading("m0", at(h), str(h)) for h in range(4)]
+    stored.report(reports(spark, [(1, 2), (24 * 400, 2)]), 0)
+    live.process_batch(records(spark, first), 0, stored, dims, NOW)
+    amounts = buckets_of(stored)
+    assert stored.read("marks").count() == 1 and amounts[at(1)] == (4.0, 0.0)
+    late = [reading("m0", at(24 * 400 + h), str(h)) for h in range(2)]
+    live.process_batch(records(spark, late), 1, stored, dims, "2026-01-01 00:00:00")
+    assert [r.batch for r in stored.read("marks").collect()] == [1]
+    assert stored.read("queue").where("type = 2").count() == 1
+    stored.refresh(dims, [at(0).date()])
+    assert buckets_of(stored)[at(1)] == (4.0, 0.0)
+
+
+def test_state_log_writes_what_a_batch_touched(spark, tmp_path):
+    stored = MeterTables(spark, str(tmp_path / "t"), snapshot_every=2).create()
+    batches = [[(f"m{k}", 0, 1) for k in range(20)]]
+    batches += [[(f"m{n}", n, n), ("m0", n, n)] for n in range(1, 6)]
+    want, after = {}, []
+    for n, rows in enumerate(batches):
+        amounts = spark.createDataFrame([(m, 11, at(h), Decimal(v)) for m, h, v in rows],
+                                        "item_name string, type_id int, hour timestamp, amount decimal(31,10)")
+        for _ in range(1 + (n == 4)):  # the fifth batch runs again after its snapshot
+            stored.write_changes(hourly.last_known(amounts, stored.state(n - 1, only=amounts)), n)
+        want.update({m: (at(h), float(v)) for m, h, v in rows})
+        after.append(dict(want))
+    for n in (4, 5):
+        assert {r.item_name: (r.date_time, float(r.real_value)) for r in stored.state(n).collect()} == after[n]
+    log = stored.read("state").groupBy("kind", "batch").count().collect()
+    assert all(r["count"] <= 2 for r in log if r.kind == CHANGE)
+    # what neither the last batch nor a replay of it reads is gone
+    assert sorted(r.batch for r in log if r.kind == SNAPSHOT) == [3, 5]
+    assert min(r.batch for r in log) == 3
+
+
+def test_dimensions_are_read_for_every_batch(spark, tmp_path, dims):
+    source, item = str(tmp_path / "in"), str(tmp_path / "item")
+    dims.item.where("id <> 10 and id <> 2").write.parquet(item)
+
+    def now_known():
+        return Dimensions(dims.building, dims.collector, spark.read.parquet(item), dims.item_type,
+                          dims.item_virtual, dims.subentry)
+
+    for n, hours in enumerate([range(0, 3), range(3, 6)]):
+        if n:
+            dims.item.where("id = 10 or id = 2").write.mode("append").parquet(item)
+        records(spark, [reading(m, at(h), str(h)) for h in hours for m in ("m0", "m1")]) \
+            .write.mode("append").parquet(source)
+        stream = spark.readStream.schema("value string").parquet(source)
+        live.start_live(stream, str(tmp_path / "t"), str(tmp_path / "cp"), now_known, NOW,
+                        trigger=ONCE).awaitTermination()
+        rows = MeterTables(spark, str(tmp_path / "t")).read("virtual_hour").collect()
+        assert bool(rows) == bool(n)
+
+
+def test_resume_computes_what_is_missing(spark, tmp_path, dims, monkeypatch):
+    rows = random_rows(9, hours=40, n=250)
+    span = ("20240301000000", "20240302160000")
+    one = MeterTables(spark, str(tmp_path / "one"))
+    backfill(one, readings(spark, rows), dims, *span, NOW)
+    two = MeterTables(spark, str(tmp_path / "two"))
+    cuts = [at(h).strftime("%Y%m%d%H%M%S") for h in (0, 9, 20, 31, 40)]
+    for step in (0, 2):
+        backfill(two, readings(spark, rows), dims, cuts[step], cuts[step + 1], NOW, step=step)
+    # a step that dies before its tables are refreshed is not done
+    monkeypatch.setattr(MeterTables, "refresh", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        backfill(two, readings(spark, rows), dims, cuts[3], cuts[4], NOW, step=3)
+    monkeypatch.undo()
+    assert two.missing(*span) == [("2024-03-01 09:00:00", "2024-03-01 20:00:00"),
+                                  ("2024-03-02 07:00:00", "2024-03-02 16:00:00")]
+    runs = resume(two, readings(spark, rows), dims, *span, now=NOW)
+    assert len(runs) == 2 and two.missing(*span) == []
+    assert resume(two, readings(spark, rows), dims, *span, now=NOW) == []
+    days = [at(0).date(), at(24).date()]
+    assert hour_tuples(one.hours(days)) == hour_tuples(two.hours(days))
+    for name in ("day", "month", "subentry_hour", "subentry_day", "virtual_hour"):
+        assert sorted(map(str, one.read(name).collect())) == sorted(map(str, two.read(name).collect()))

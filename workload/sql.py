@@ -121,6 +121,29 @@ def _virtual(hours: str, due: str = "due") -> str:
     ])
 
 
+def _pending_third(upto: str) -> str:
+    """Third-party reports up to a stamp that are not done."""
+    return f"""
+        SELECT DISTINCT build_code, collector_code, "timestamp" FROM queue q
+        WHERE type = 2 AND "timestamp" <= {upto} AND NOT EXISTS (
+            SELECT 1 FROM queue d WHERE d.type = 3 AND d.build_code = q.build_code
+              AND d.collector_code = q.collector_code AND d."timestamp" = q."timestamp")"""
+
+
+def _third_amounts(reports: str) -> str:
+    return f"""
+        SELECT building_code, {_buckets('counted')}, CAST(0 AS DECIMAL(18,4)) AS rate, data_time
+        FROM (SELECT split_part(h.item_name, '_', 1) AS building_code, h.date_time AS data_time,
+                     s.subentry_code, CASE WHEN h.value < 100000 THEN h.value ELSE 0 END AS counted
+              FROM hourly h
+              JOIN {reports} p ON split_part(h.item_name, '_', 1) = p.build_code
+               AND split_part(h.item_name, '_', 2) = p.collector_code
+               AND h.date_time = strptime(p."timestamp" || '0000', '%Y%m%d%H%M%S')
+              LEFT JOIN subentries s ON h.item_name = s.item_name
+              WHERE h.type = 'A') c
+        GROUP BY building_code, data_time"""
+
+
 def _due(readings: str) -> str:
     """Hours for which the virtual items of the first collector are due."""
     return f"""
@@ -212,22 +235,11 @@ VIEWS = {
         SELECT DISTINCT concat('B', user_id % 5), concat('G', user_id % 2), strftime(ts, '%Y%m%d%H'),
                CAST(CASE event_type WHEN 'signup' THEN 2 ELSE 3 END AS INTEGER)
         FROM e WHERE event_type IN ('signup', 'error')""",
-    "pending_third": f"""
-        SELECT DISTINCT build_code, collector_code, "timestamp" FROM queue q
-        WHERE type = 2 AND "timestamp" <= '{P.QUEUE_STAMP}' AND NOT EXISTS (
-            SELECT 1 FROM queue d WHERE d.type = 3 AND d.build_code = q.build_code
-              AND d.collector_code = q.collector_code AND d."timestamp" = q."timestamp")""",
-    "third_amounts": f"""
-        SELECT building_code, {_buckets('counted')}, CAST(0 AS DECIMAL(18,4)) AS rate, data_time
-        FROM (SELECT split_part(h.item_name, '_', 1) AS building_code, h.date_time AS data_time,
-                     s.subentry_code, CASE WHEN h.value < 100000 THEN h.value ELSE 0 END AS counted
-              FROM hourly h
-              JOIN pending_third p ON split_part(h.item_name, '_', 1) = p.build_code
-               AND split_part(h.item_name, '_', 2) = p.collector_code
-               AND h.date_time = strptime(p."timestamp" || '0000', '%Y%m%d%H%M%S')
-              LEFT JOIN subentries s ON h.item_name = s.item_name
-              WHERE h.type = 'A') c
-        GROUP BY building_code, data_time""",
+    "pending_third": _pending_third(f"'{P.QUEUE_STAMP}'"),
+    "third_amounts": _third_amounts("pending_third"),
+    # In the live job a report is due once a reading has been queued for its hour or a later one.
+    "live_marks": _pending_third('(SELECT max("timestamp") FROM own_queue)'),
+    "live_third": _third_amounts("live_marks"),
     "due": _due("reading_ts <= TIMESTAMP '%s' + INTERVAL 1 HOUR" % P.NOW),
     # A backfill sees the stored history only, which has no quarantined records.
     "history_due": _due(STORABLE),
@@ -236,6 +248,13 @@ VIEWS = {
     "history_virtual": _virtual("hourly", "history_due"),
     **_derived("all", "virtual_hourly"),
     **_derived("history", "history_virtual"),
+    "live_hourly": "SELECT * FROM all_hourly",
+    "live_day": "SELECT * FROM all_day",
+    "live_month": "SELECT * FROM all_month",
+    "live_subentry": f"""
+        SELECT building_code, {SUM_BUCKETS}, data_time
+        FROM (SELECT * FROM all_subentry UNION ALL BY NAME SELECT * FROM live_third) b
+        GROUP BY building_code, data_time""",
     "seeds": f"""
         SELECT item_name, type_id, max(hour) AS seed_hour FROM ({SEED_AMOUNTS}) s GROUP BY 1, 2""",
     # The catalogue: nations, suppliers and the parts each supplies.
@@ -352,7 +371,7 @@ def _stored_type(column: str) -> str:
     return f"CASE {column} {cases} ELSE upper({column}) END"
 
 
-def _pipeline(prefix: str) -> str:
+def _pipeline(prefix: str, with_state: bool = True) -> str:
     def energy(name: str, rows: str) -> str:
         return f"""SELECT '{name}' AS table_name, item_name AS code, CAST(type_id AS VARCHAR) AS part,
                    date_time, {_double('value')}, {_double('real_value')}, error FROM {rows} r"""
@@ -372,7 +391,7 @@ def _pipeline(prefix: str) -> str:
     return " UNION ALL ".join([
         energy("hour", f"{prefix}_hourly"), energy("day", f"{prefix}_day"),
         energy("month", f"{prefix}_month"), buckets("subentry_hour", f"{prefix}_subentry"),
-        buckets("subentry_day", day_buckets), state,
+        buckets("subentry_day", day_buckets), *[state] * with_state,
     ])
 
 
@@ -547,7 +566,14 @@ _QUERIES = {
     "stream_ingest": f"SELECT {READING}, NOT {STORABLE} AS quarantined FROM typed",
     "stream_hourly": f"SELECT {HOUR} FROM hourly",
     "stream_hourly_fold": f"SELECT {HOUR} FROM hourly",
-    "pipeline_live": _pipeline("all"),
+    "pipeline_live": _pipeline("live") + """
+        UNION ALL SELECT 'marks', concat_ws('_', build_code, collector_code), "timestamp",
+        strptime("timestamp" || '0000', '%Y%m%d%H%M%S'), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE),
+        CAST(0 AS INTEGER) FROM live_marks""",
+    "state_changelog": """SELECT item_name, type_id, max(hour) AS date_time,
+        CAST(CAST(arg_max(amount, hour) AS DECIMAL(18,4)) AS DOUBLE) AS real_value, '0' AS status
+        FROM amounts GROUP BY item_name, type_id""",
+    "backfill_resume": _pipeline("history", with_state=False),
     "pipeline_backfill": _pipeline("history"),
     "pipeline_backfill_overlap": _pipeline("history"),
 }
