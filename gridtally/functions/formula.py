@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtally.functions import numbers
+
 PRIORITY = {"+": 1, "#": 1, "*": 2, "/": 2}
 REFERENCE = "@"
 _LEXEME = re.compile(r"[-+*/#()]|[^-+*/#()]+")
@@ -123,3 +125,8 @@ def evaluate(postfix: Column, inputs: Column) -> Column:
     empty = F.array().cast("array<double>")
     result = F.aggregate(postfix, empty, step, lambda stack: F.get(stack, F.lit(0)))
     return F.coalesce(result, F.lit(0.0))
+
+
+def result(postfix: Column, inputs: Column, places: int = 2, mode: str = "half_up") -> Column:
+    """The value of a formula as an exact amount with some places, cut off in any rounding mode."""
+    return numbers.rounded(evaluate(postfix, inputs), places, mode)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from gridtally.schemas import AMOUNT, REGISTER
 
+#: What becomes of the places that are cut off.
+ROUNDING = ("up", "down", "ceiling", "floor", "half_up", "half_down", "half_even", "unnecessary")
+
 
 def parse_register(text: Column) -> Column:
     """Decimal register, null for anything that is not a plain number (NaN, 48,892.60, empty)."""
@@ -44,3 +47,29 @@ def _register(x: Column) -> Column:
 
 def round_half_up(x: Column, places: int) -> Column:
     return F.round(x, places)
+
+
+def rounded(x: Column, places: int, mode: str = "half_up") -> Column:
+    """``x`` as an exact amount rounded to some places, 10 at most.
+
+    Up and down mean away from zero and towards it, ceiling and floor towards more and less. The half
+    modes go to the nearer neighbour and differ where both are as near. ``unnecessary`` is an error
+    unless ``x`` has no more places. A number that no amount can hold is null.
+    """
+    if mode not in ROUNDING:
+        raise ValueError(f"not a rounding mode: {mode}")
+    if not 0 <= places <= 10:
+        raise ValueError(f"not a number of places: {places}")
+    d = x.try_cast(AMOUNT)
+    ceiling, floor = (f(d, F.lit(places)).cast(AMOUNT) for f in (F.ceil, F.floor))
+    up = F.when(d >= 0, ceiling).otherwise(floor)
+    down = F.when(d >= 0, floor).otherwise(ceiling)
+    tie = d - down == up - d
+    return {
+        "up": up, "down": down, "ceiling": ceiling, "floor": floor,
+        "half_up": F.round(d, places).cast(AMOUNT),
+        "half_down": F.when(tie, down).otherwise(F.round(d, places).cast(AMOUNT)),
+        "half_even": F.bround(d, places).cast(AMOUNT),
+        "unnecessary": F.when(d == down, d).otherwise(
+            F.raise_error(F.concat(F.lit("needs rounding: "), d.cast("string"))).cast(AMOUNT)),
+    }[mode]

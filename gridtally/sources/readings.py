@@ -63,7 +63,8 @@ def kafka_stream(
 ) -> DataFrame:
     """Records of one topic; offsets live in the query's checkpoint.
 
-    Without ``fail_on_data_loss``, offsets that have aged out restart at the beginning.
+    A new query starts at ``starting_offsets``, "earliest", "latest" or the text that
+    ``operators.offsets.as_json`` makes of offsets recorded elsewhere. Without ``fail_on_data_loss``, offsets that have aged out restart at the beginning.
     Needs the Kafka connector on the cluster's classpath.
     """
     reader = (

@@ -8,7 +8,7 @@ order, ignores late readings at once and can continue from a stored state.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime
 from decimal import Decimal
 
@@ -147,6 +147,30 @@ def _fold(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
     yield pd.DataFrame(out, columns=names)
 
 
+#: Series and hours that a task holds before it hands their first readings on.
+HELD = 100_000
+FOLD_ORDER = ["hour_us", "ts_us", "pos"]
+
+
+def _firsts(schema: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Reduces a task's rows to the first one of every series and hour, in bounded memory."""
+    key = [*SERIES_KEY, "hour_us"]
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def reduce(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for chunk in chunks:
+            both = chunk if held is None else pd.concat([held, chunk])
+            held = both.sort_values(FOLD_ORDER).drop_duplicates(key)
+            if len(held) > HELD:
+                yield held[names]
+                held = None
+        if held is not None:
+            yield held[names]
+
+    return reduce
+
+
 def hourly_fold(
     readings: DataFrame,
     item_types: DataFrame,
@@ -155,7 +179,11 @@ def hourly_fold(
     now: datetime | str | None = None,
     position: str | None = None,
 ) -> DataFrame:
-    """Append-mode stream of hour rows in arrival order, seeded from ``state`` if given."""
+    """Append-mode stream of hour rows in arrival order, seeded from ``state`` if given.
+
+    Readings are reduced before they are grouped: a series' group gets one row per hour and task,
+    not all of its readings, so a meter with a third of them is no heavier than its hours.
+    """
     timed = timed_readings(readings, item_types, now, position=position)
     known = limits.select(*SERIES_KEY, "max_value", "coefficient")
     ratio = F.coalesce("coefficient", F.lit(DEFAULT_COEFFICIENT)).cast(COEFFICIENT)
@@ -176,6 +204,8 @@ def hourly_fold(
             F.col("real_value").cast(AMOUNT).alias("seed_amount"),
         )
         rows = rows.join(seeds, SERIES_KEY, "left")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    rows = rows.mapInPandas(_firsts(schema), schema)
     folded = rows.groupBy(*SERIES_KEY).applyInPandasWithState(
         _fold, FOLD_OUTPUT, FOLD_STATE, "append", GroupStateTimeout.NoTimeout
     )

@@ -160,3 +160,34 @@ def test_exact_product_never_rounds_its_inputs(spark):
     assert float(one(spark, product)) == 3.000003
     with pytest.raises(Exception, match="more than six decimals"):
         one(spark, numbers.exact_product(F.lit("0.0000004"), F.lit("3")))
+
+
+def test_rounding_modes(spark):
+    import decimal
+
+    texts = ["0", "1.005", "-1.005", "1.0049999999", "1.015", "-2.5", "2.5", "3.5", "-0.001", "0.009", "1.23",
+             "123456789012345678.125", "-99.995"]
+    python = {m: getattr(decimal, f"ROUND_{m.upper()}") for m in numbers.ROUNDING if m != "unnecessary"}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for places in (0, 2, 10):
+        made = df.select("t", *[numbers.rounded(F.col("t"), places, m).alias(m) for m in python]).collect()
+        for r in made:
+            with decimal.localcontext(decimal.Context(prec=60)):
+                for m, mode in python.items():
+                    assert r[m] == decimal.Decimal(r.t).quantize(decimal.Decimal(1).scaleb(-places), mode), (r.t, m)
+    assert float(one(spark, numbers.rounded(F.lit(2.675), 2, "half_even"))) == 2.68  # as the double prints
+    assert float(one(spark, numbers.rounded(F.lit("1.25"), 2, "unnecessary"))) == 1.25
+    assert one(spark, numbers.rounded(F.lit(1e40), 2)) is None
+    with pytest.raises(Exception, match="needs rounding"):
+        one(spark, numbers.rounded(F.lit("1.255"), 2, "unnecessary"))
+    for places, mode in [(2, "half"), (11, "up")]:
+        with pytest.raises(ValueError):
+            numbers.rounded(F.lit(1.0), places, mode)
+
+
+@pytest.mark.parametrize("mode, want", [("half_up", 0.13), ("half_down", 0.12), ("up", 0.13), ("half_even", 0.12)])
+def test_formula_in_a_rounding_mode(spark, mode, want):
+    df = spark.createDataFrame([("7 / d8", {7: 1.0})], "f string, m map<bigint,double>")
+    compiled = df.select(formula.compile_formula("f").alias("p"), "m")
+    got = compiled.select(formula.result(F.col("p"), F.col("m"), 2, mode).alias("x")).first().x
+    assert float(got) == want

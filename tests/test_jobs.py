@@ -407,3 +407,30 @@ def test_resume_computes_what_is_missing(spark, tmp_path, dims, monkeypatch):
     assert hour_tuples(one.hours(days)) == hour_tuples(two.hours(days))
     for name in ("day", "month", "subentry_hour", "subentry_day", "virtual_hour"):
         assert sorted(map(str, one.read(name).collect())) == sorted(map(str, two.read(name).collect()))
+
+
+def test_fold_hands_on_one_row_per_hour(spark, monkeypatch):
+    import pandas as pd
+
+    schema = "item_name string, type_id int, ts_us long, hour_us long, pos long, amount string"
+    rng = random.Random(2)
+    rows = [("m", 11, t := rng.randrange(500), t // 100, rng.randrange(9), str(n)) for n in range(400)]
+    rows += [(f"m{n}", 11, 5, 0, 0, "x") for n in range(5)]
+    frame = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+    chunks = [frame[n:n + 60] for n in range(0, len(frame), 60)]
+    got = pd.concat(streams._firsts(schema)(iter(chunks)))
+    assert len(got) == 5 + 5
+    for r in got[got.item_name == "m"].itertuples():
+        assert (r.ts_us, r.pos) == min((x[2], x[4]) for x in rows if x[0] == "m" and x[3] == r.hour_us)
+    monkeypatch.setattr(streams, "HELD", 3)
+    parts = list(streams._firsts(schema)(iter(chunks)))
+    assert len(parts) > 2 and max(map(len, parts)) <= 10 and set(pd.concat(parts).item_name) == set(frame.item_name)
+
+
+def test_fold_plan_reduces_before_the_exchange(spark, tmp_path, dims):
+    source = str(tmp_path / "in")
+    records(spark, random_rows(1, n=20)).write.parquet(source)
+    stream = sources.decode_readings(spark.readStream.schema("value string").parquet(source))
+    folded = streams.hourly_fold(stream, dims.item_type, dims.limits, now=NOW)
+    plan = folded._jdf.queryExecution().analyzed().toString()
+    assert plan.index("FlatMapGroupsInPandasWithState") < plan.index("MapInPandas")

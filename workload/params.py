@@ -6,7 +6,7 @@ from gridtally.operators.casting import STORED_TYPES
 from gridtally.schemas import SUBENTRY_BUCKETS
 
 __all__ = [
-    "FROM", "ITEM", "KEY_FROM", "KEY_SHIFT", "KEY_TO", "MEDIA", "NESTED", "NOW", "POINT", "QUEUE_STAMP",
+    "FROM", "ITEM", "KEY_FROM", "KEY_SHIFT", "KEY_TO", "MEDIA", "NESTED", "NOW", "PER_BATCH", "POINT", "QUEUE_STAMP",
     "SPLIT", "STORED_TYPES", "SUBENTRY_BUCKETS", "SUBENTRY_CODES", "TO", "UNKNOWN_CODE", "VIRTUALS",
 ]
 
@@ -56,3 +56,7 @@ NESTED_TERMS = [
 ]
 NESTED_ADDED = [(2104, 1)]
 NESTED_LEVELS = 4
+PER_BATCH = 50
+# Partition 3 is not recorded, partition 2 from its start; offset 1 has aged out of any log here.
+VALID_OFFSETS = [(0, 1_000_000_000), (1, 40), (2, 0)]
+AGED_OFFSETS = [(0, 1_000_000_000), (1, 1), (2, 0)]

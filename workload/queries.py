@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridtally.functions import numbers, text, times
 from gridtally.operators import (
-    casting, clean, hourly, merge, rollup, subentry, virtual,
+    casting, clean, hourly, merge, offsets, rollup, subentry, virtual,
 )
 from gridtally.operators import queue as work_queue
 from gridtally.plans.backfill import backfill, resume
@@ -161,6 +162,17 @@ def decimal_arith(spark, sf):
     ))
 
 
+@query
+def round_modes(spark, sf):
+    """Signed amounts with ties, cut to two places in every mode."""
+    lines = views.table(spark, sf, "lineitem")
+    quantity, price = (F.col(c).cast("decimal(12,2)") for c in ("l_quantity", "l_extendedprice"))
+    x = (price * F.lit("0.005").cast("decimal(4,3)") - quantity * 5).cast("decimal(18,4)")
+    return as_double(lines.select("l_orderkey", "l_linenumber", "l_partkey", *[
+        numbers.rounded(x, 2, mode).alias(mode) for mode in numbers.ROUNDING[:-1]
+    ]))
+
+
 @query
 def date_helpers(spark, sf):
     date = F.col("o_orderdate").cast("timestamp")
@@ -584,6 +596,34 @@ def schema_from_spec(spark, sf):
     return casting.describe_tables(registry, "spec")
 
 
+# --- the log
+
+def _log(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings as a log of four partitions; of each the first tenth has aged out."""
+    order = Window.partitionBy("partition").orderBy("event_id")
+    rows = views.events(spark, sf).select("event_id", (F.col("x") % 4).cast("int").alias("partition"))
+    rows = rows.withColumn("offset", (F.row_number().over(order) - 1).cast("long"))
+    sizes = rows.groupBy("partition").agg(F.floor(F.count(F.lit(1)) / 10).alias("kept_from"))
+    return rows.join(sizes, "partition").where("offset >= kept_from").drop("kept_from")
+
+
+def _resumed(spark: SparkSession, sf: str, recorded: list[tuple[int, int]]) -> DataFrame:
+    log = _stored(_log(spark, sf), "log")
+    beginnings = log.groupBy("partition").agg(F.min("offset").alias("offset"))
+    rows = views.literal(spark, recorded, {"partition": views.INT, "offset": pa.int64()})
+    return offsets.remaining(log, offsets.starting_offsets(rows, beginnings), P.PER_BATCH)
+
+
+@query
+def stream_offsets(spark, sf):
+    """What is left of the log, in batches, where every record is valid or one has aged out."""
+    def tagged(name, rows):
+        return rows.withColumn("recorded", F.lit(name))
+
+    return tagged("valid", _resumed(spark, sf, P.VALID_OFFSETS)).unionByName(
+        tagged("aged", _resumed(spark, sf, P.AGED_OFFSETS)))
+
+
 # --- streams and jobs
 
 ARRIVALS = (P.SPLIT,)  # where, inside an hour, the record stream is cut into arrivals

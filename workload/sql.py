@@ -144,6 +144,38 @@ def _third_amounts(reports: str) -> str:
         GROUP BY building_code, data_time"""
 
 
+def _resumed(name: str, recorded: list[tuple]) -> str:
+    return f"""
+        SELECT l.event_id, l.partition, l."offset", '{name}' AS recorded,
+               CAST((l."offset" - s.start) // {P.PER_BATCH} AS BIGINT) AS batch
+        FROM log l JOIN (
+            SELECT b.partition, CASE WHEN (SELECT bool_or(r.seen > 0 AND r.seen < c.beginning)
+                FROM log_beginnings c JOIN (VALUES {_rows(recorded)}) r(partition, seen)
+                  ON c.partition = r.partition)
+              THEN b.beginning ELSE greatest(coalesce(r.seen, 0), b.beginning) END AS start
+            FROM log_beginnings b LEFT JOIN (VALUES {_rows(recorded)}) r(partition, seen)
+              ON b.partition = r.partition) s ON l.partition = s.partition
+        WHERE l."offset" >= s.start"""
+
+
+def _round_modes() -> str:
+    """On whole ten-thousandths: a is their number, q the hundredths in it, r the rest."""
+    rules = {
+        "up": "r > 0", "down": "false", "ceiling": "r > 0 AND s > 0", "floor": "r > 0 AND s < 0",
+        "half_up": "r >= 50", "half_down": "r > 50", "half_even": "r > 50 OR (r = 50 AND q % 2 = 1)",
+    }
+    made = ", ".join(
+        f"CAST(s * (q + CASE WHEN {rule} THEN 1 ELSE 0 END) AS DOUBLE) / 100 AS {mode}"
+        for mode, rule in rules.items()
+    )
+    return f"""SELECT l_orderkey, l_linenumber, l_partkey, {made} FROM (
+        SELECT *, a // 100 AS q, a % 100 AS r FROM (
+        SELECT *, abs(n) AS a, CASE WHEN n < 0 THEN -1 ELSE 1 END AS s FROM (
+        SELECT *, CAST(round((CAST(l_extendedprice AS DECIMAL(12,2)) * 0.005
+               - CAST(l_quantity AS DECIMAL(12,2)) * 5) * 10000, 0) AS BIGINT) AS n FROM (
+        SELECT * FROM lineitem))))"""
+
+
 def _due(readings: str) -> str:
     """Hours for which the virtual items of the first collector are due."""
     return f"""
@@ -255,6 +287,12 @@ VIEWS = {
         SELECT building_code, {SUM_BUCKETS}, data_time
         FROM (SELECT * FROM all_subentry UNION ALL BY NAME SELECT * FROM live_third) b
         GROUP BY building_code, data_time""",
+    "log_rows": """
+        SELECT event_id, CAST(x % 4 AS INTEGER) AS partition,
+               row_number() OVER (PARTITION BY x % 4 ORDER BY event_id) - 1 AS "offset",
+               count(*) OVER (PARTITION BY x % 4) // 10 AS kept_from FROM e""",
+    "log": 'SELECT event_id, partition, "offset" FROM log_rows WHERE "offset" >= kept_from',
+    "log_beginnings": 'SELECT partition, min("offset") AS beginning FROM log GROUP BY partition',
     "seeds": f"""
         SELECT item_name, type_id, max(hour) AS seed_hour FROM ({SEED_AMOUNTS}) s GROUP BY 1, 2""",
     # The catalogue: nations, suppliers and the parts each supplies.
@@ -562,6 +600,8 @@ _QUERIES = {
                      unnest(['id', lower(p_type), 'taken_at']) AS column_name,
                      unnest(['int', CASE WHEN p_size > 25 THEN 'money' ELSE 'nvarchar' END, 'datetime'])
                        AS declared_type FROM part) c""",
+    "round_modes": _round_modes(),
+    "stream_offsets": _resumed("valid", P.VALID_OFFSETS) + " UNION ALL " + _resumed("aged", P.AGED_OFFSETS),
     # streams and jobs
     "stream_ingest": f"SELECT {READING}, NOT {STORABLE} AS quarantined FROM typed",
     "stream_hourly": f"SELECT {HOUR} FROM hourly",
