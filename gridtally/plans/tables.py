@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from gridtally.functions import times
 from gridtally.operators.dims import Dimensions
-from gridtally.operators.merge import last_per_key
+from gridtally.operators.merge import assign_ids, last_per_key
 from gridtally.operators.rollup import day_rollup, month_rollup
 from gridtally.operators import intervals
 from gridtally.operators.queue import DONE, THIRD_PARTY, pending_third_party
@@ -100,6 +100,13 @@ SCHEMAS = {
     "marks": _with(T.StructType(QUEUE_SCHEMA.fields[:3]), DAY_PART, BATCH_PART),
     "ticks": T.StructType([T.StructField("tick", T.StringType()), T.StructField(*BATCH_PART)]),
     "third_party": _with(SUBENTRY_SCHEMA, DAY_PART),
+    "ids": T.StructType([
+        *STATE_SCHEMA.fields[:2], T.StructField("id", T.LongType()), T.StructField(*BATCH_PART),
+    ]),
+    "writes": T.StructType([
+        T.StructField("table_name", T.StringType()), T.StructField("n_rows", T.LongType()),
+        T.StructField(*BATCH_PART),
+    ]),
     "state": _with(STATE_SCHEMA, ("kind", T.StringType()), BATCH_PART),
     "ranges": T.StructType([
         T.StructField("start", T.TimestampType()), T.StructField("end", T.TimestampType()),
@@ -119,6 +126,8 @@ PARTITIONS = {
     "marks": ["day", "batch"],
     "ticks": ["batch"],
     "third_party": ["day"],
+    "ids": ["batch"],
+    "writes": ["batch"],
     "state": ["kind", "batch"],
     "ranges": ["batch"],
 }
@@ -128,6 +137,7 @@ KEYS = {
     "amounts": "item_name", "hour": "item_name", "virtual_hour": "item_name", "day": "item_name",
     "month": "item_name", "subentry_hour": "building_code", "subentry_day": "building_code",
     "queue": "build_code", "marks": "build_code", "ticks": "tick", "third_party": "building_code",
+    "ids": "item_name", "writes": "table_name",
     "state": "item_name", "ranges": "start",
 }
 
@@ -153,7 +163,7 @@ class MeterTables:
 
     def create(self) -> MeterTables:
         """Makes the tables that a job reads before it has written them."""
-        for name in ("state", "hour", "queue", "ranges", "marks", "ticks", "third_party"):
+        for name in ("state", "hour", "queue", "ranges", "marks", "ticks", "third_party", "ids"):
             create_table(self.spark, self.path(name), SCHEMAS[name], PARTITIONS[name])
         return self
 
@@ -164,6 +174,38 @@ class MeterTables:
             rows = rows.unionByName(empty, allowMissingColumns=True)
         replace_partitions(rows, self.path(name), PARTITIONS[name])
 
+    def write_counts(self, batch: int, days: Sequence[date] = ()) -> None:
+        """Stores how many rows each table has from a batch, and each derived one for its days.
+
+        One job over the key columns of the partitions that the batch has just written.
+        """
+        parts = [
+            (name, self.read(name).where(F.col("batch") == batch))
+            for name in ("hour", "queue", "marks", "state", "ids")
+        ]
+        if days:
+            parts += [(name, self.read(name, days))
+                      for name in ("virtual_hour", "day", "subentry_hour", "subentry_day")]
+        counts = [
+            (rows.where(F.col("kind") == CHANGE) if name == "state" else rows)
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(F.lit(name).alias("table_name"), "n_rows", F.lit(batch).alias("batch"))
+            for name, rows in parts
+        ]
+        self.replace("writes", reduce(DataFrame.unionByName, counts))
+
+    def write_ids(self, series: DataFrame, batch: int) -> None:
+        """Gives series that no earlier batch has seen the next ids, in key order.
+
+        Ids never change, and a batch that runs again gives its own series the same ones. Only
+        they are written.
+        """
+        keys = series.select(*SERIES_KEY).distinct()
+        known = self.read("ids").where(F.col("batch") < batch)
+        fresh = keys.join(known, SERIES_KEY, "left_anti")
+        rows = assign_ids(fresh, known.drop("batch"), SERIES_KEY).withColumn("batch", F.lit(batch))
+        self.replace("ids", rows, self.spark.createDataFrame([(batch,)], "batch long"))
+
     def newest_batch(self, name: str, below: int | None = None) -> int:
         """The last batch that wrote a table, from partition names; -1 if there is none."""
         batches = self._stored(name).select("batch")

@@ -25,13 +25,16 @@ def process_batch(
     now: datetime | str | None = None,
     position: str | None = None,
     refresh: bool = True,
+    ids: bool = False,
 ) -> None:
     """One micro-batch: hour rows, state, queue and marks, then the tables derived from them.
 
     The batch reads the state of the series it touches and writes what became of them, and it
     owns its ``batch`` partitions, so a replay after a failure repeats the same writes. Reports of
     third parties (``MeterTables.report``) are counted once the readings have reached their hour.
-    With ``refresh`` off, run ``MeterTables.refresh`` for the touched days on a schedule.
+    With ``refresh`` off, run ``MeterTables.refresh`` for the touched days on a schedule. With
+    ``ids``, series are numbered as they first appear. How many rows the batch wrote to each
+    table is stored as the table ``writes``.
     """
     readings = decode_readings(records)
     clean = clean_readings(readings, dims.item_type, now, position=position)
@@ -42,11 +45,14 @@ def process_batch(
         tables.write_hours(emitted(amounts, state), batch)
         tables.write_changes(hourly.last_known(amounts, state), batch)
         tables.write_queue(data_access_events(readings, now), batch)
+        if ids:
+            tables.write_ids(amounts, batch)
     finally:
         amounts.unpersist()
     tables.settle(batch)
-    if refresh:
-        tables.refresh(dims, tables.touched_days(batch))
+    days = tables.touched_days(batch) if refresh else []
+    tables.refresh(dims, days)
+    tables.write_counts(batch, days)
 
 
 def start_live(
@@ -58,6 +64,7 @@ def start_live(
     position: str | None = None,
     trigger: dict | None = None,
     refresh: bool = True,
+    ids: bool = False,
 ) -> StreamingQuery:
     """Runs ``process_batch`` on every micro-batch of a record stream (column ``value``).
 
@@ -68,7 +75,8 @@ def start_live(
 
     def process(df: DataFrame, batch: int) -> None:
         tables = MeterTables(df.sparkSession, root)
-        process_batch(df, batch, tables, dims() if callable(dims) else dims, now, position, refresh)
+        known = dims() if callable(dims) else dims
+        process_batch(df, batch, tables, known, now, position, refresh, ids)
 
     return (
         records.writeStream.foreachBatch(process)

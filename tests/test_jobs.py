@@ -136,7 +136,7 @@ def tables_of(stored):
     Batches that touch the same hour each queue it, and the queue's readers take distinct
     rows; so do we.
     """
-    names = [n for n in SCHEMAS if n not in ("amounts", "state", "ranges", "ticks")]
+    names = [n for n in SCHEMAS if n not in ("amounts", "state", "ranges", "ticks", "ids", "writes")]
     rows = {n: stored.read(n).drop("batch") for n in names}
     rows["queue"] = rows["queue"].distinct()
     return {n: sorted(map(str, df.collect())) for n, df in rows.items()}
@@ -434,3 +434,45 @@ def test_fold_plan_reduces_before_the_exchange(spark, tmp_path, dims):
     folded = streams.hourly_fold(stream, dims.item_type, dims.limits, now=NOW)
     plan = folded._jdf.queryExecution().analyzed().toString()
     assert plan.index("FlatMapGroupsInPandasWithState") < plan.index("MapInPandas")
+
+
+def test_ids_are_stable_and_writes_are_counted(spark, tmp_path, dims):
+    stored = MeterTables(spark, str(tmp_path / "t")).create()
+    batches = [["m0", "m3"], ["m1", "m0"], ["m0"], ["m9", "m2", "m1"]]
+    for n, meters in enumerate(batches):
+        for _ in range(1 + n % 2):  # some run twice
+            rows = [reading(m, at(n), str(n)) for m in meters]
+            live.process_batch(records(spark, rows), n, stored, dims, NOW, refresh=False, ids=True)
+    ids = {r.item_name: r.id for r in stored.read("ids").collect()}
+    assert ids == {"B0_G0_m0": 1, "B0_G0_m3": 2, "B0_G0_m1": 3, "B0_G0_m2": 4, "B0_G0_m9": 5}
+    counts = {(r.batch, r.table_name): r.n_rows for r in stored.read("writes").collect()}
+    assert [counts[n, "state"] for n in range(4)] == [2, 2, 1, 3]
+    assert [counts[n, "ids"] for n in range(4)] == [2, 1, 0, 2]
+    hours = stored.read("hour").groupBy("batch").count().collect()
+    assert {r.batch: r["count"] for r in hours} == {n: counts[n, "hour"] for n in range(4) if counts[n, "hour"]}
+    stored.refresh(dims, [at(0).date()])
+    stored.write_counts(3, [at(0).date()])
+    counts = {r.table_name: r.n_rows for r in stored.read("writes").where("batch = 3").collect()}
+    assert counts["day"] == stored.read("day").count() > 0 and counts["state"] == 3
+
+
+def test_progress_table_has_late_rows(spark, tmp_path):
+    from gridtally.streaming.progress import ProgressTable
+
+    path = str(tmp_path / "progress")
+    listener = ProgressTable(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        rows = [reading("m", at(h), str(h)) for h in (0, 1, 10, 11)]
+        run_stream(spark, tmp_path,
+                   lambda r: streams.hourly_stream(r, item_types(spark), limits(spark), NOW),
+                   [rows, [reading("m", at(2), "2"), reading("m", at(12), "12")]])
+        for _ in range(100):
+            time.sleep(0.2)
+            if (tmp_path / "progress").exists() and spark.read.parquet(path).count() >= 2:
+                break
+        got = spark.read.parquet(path).orderBy("run_id").collect()
+    finally:
+        spark.streams.removeListener(listener)
+    assert sorted((r.input_rows, r.late_rows) for r in got) == [(2, 1), (4, 0)]
+    assert all('"clean_readings": {"rows":' in r.metrics for r in got)

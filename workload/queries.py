@@ -791,6 +791,33 @@ def pipeline_live(spark, sf):
     return _all_tables(stored).unionByName(marks)
 
 
+def _arrived(spark: SparkSession, sf: str, name: str) -> MeterTables:
+    """Hours, state, queue and ids of the live job over all arrivals, without derived tables."""
+    root = scratch(spark, name)
+    d = views.meter_dimensions(spark, sf)
+
+    def start():
+        return live.start_live(
+            _records(spark, f"{root}/records"), f"{root}/tables", f"{root}/checkpoint", d, P.NOW,
+            position="offset", trigger=ONCE, refresh=False, ids=True,
+        )
+
+    _drain(spark, sf, f"{root}/records", start)
+    return MeterTables(spark, f"{root}/tables")
+
+
+@query
+def write_counts(spark, sf):
+    """How many rows each arrival wrote."""
+    counted = _arrived(spark, sf, "counts").read("writes")
+    return counted.where(F.col("table_name").isin("hour", "queue", "state"))
+
+
+@query
+def stream_ids(spark, sf):
+    return _arrived(spark, sf, "ids").read("ids").drop("batch")
+
+
 @query
 def state_changelog(spark, sf):
     """The state after batches of a few days that each log the series they touched."""
