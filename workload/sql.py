@@ -614,17 +614,17 @@ _QUERIES = {
         CAST(CAST(arg_max(amount, hour) AS DECIMAL(18,4)) AS DOUBLE) AS real_value, '0' AS status
         FROM amounts GROUP BY item_name, type_id""",
     "write_counts": f"""
-        WITH at AS (SELECT TIMESTAMP '{P.SPLIT}' AS split),
+        WITH cut AS (SELECT TIMESTAMP '{P.SPLIT}' AS split),
         early AS ({_emit(SEED_AMOUNTS)}),
         counts AS (
           SELECT 'hour' AS table_name, 0 AS batch, (SELECT count(*) FROM early) AS n_rows UNION ALL
           SELECT 'hour', 1, (SELECT count(*) FROM hourly) - (SELECT count(*) FROM early) UNION ALL
-          SELECT 'state', 0, count(DISTINCT (item_name, type_id)) FROM clean, at WHERE reading_ts < split UNION ALL
-          SELECT 'state', 1, count(DISTINCT (item_name, type_id)) FROM clean, at WHERE reading_ts >= split UNION ALL
+          SELECT 'state', 0, count(DISTINCT (item_name, type_id)) FROM clean, cut WHERE reading_ts < split UNION ALL
+          SELECT 'state', 1, count(DISTINCT (item_name, type_id)) FROM clean, cut WHERE reading_ts >= split UNION ALL
           SELECT 'queue', 0, count(DISTINCT (building_id, gate_id, strftime(reading_ts, '%Y%m%d%H')))
-          FROM typed, at WHERE reading_ts < split UNION ALL
+          FROM typed, cut WHERE reading_ts < split UNION ALL
           SELECT 'queue', 1, count(DISTINCT (building_id, gate_id, strftime(reading_ts, '%Y%m%d%H')))
-          FROM typed, at WHERE reading_ts >= split AND reading_ts <= TIMESTAMP '{P.NOW}' + INTERVAL 1 HOUR)
+          FROM typed, cut WHERE reading_ts >= split AND reading_ts <= TIMESTAMP '{P.NOW}' + INTERVAL 1 HOUR)
         SELECT table_name, CAST(n_rows AS BIGINT) AS n_rows, CAST(batch AS BIGINT) AS batch FROM counts""",
     "stream_ids": f"""
         SELECT item_name, type_id, row_number() OVER (ORDER BY late, item_name, type_id) AS id
