@@ -2,11 +2,13 @@
 
 Every window of ``width`` words is an edge of a De Bruijn graph; an edge is repeated when it occurs in
 several documents. Consecutive windows of a document whose smallest inner gram, the minimizer, is the
-same occurrence form a path. All paths of one minimizer meet in one sorted group. Where a path equals
-that of the group's first document, the graph does not branch there and the path stays compact: one row
-stands for all its edges, and its source coordinates say what they cover. Where paths of a minimizer
-differ, the graph branches and the path is taken apart into its edges, which are counted one by one.
-Equal windows have equal minimizers at equal places, so no repeated edge is missed.
+same occurrence form a path, and a path is compact as long as all paths of its minimizer are equal: the
+graph does not branch there, one row stands for all its edges, and its source coordinates say what they
+cover. Paths meet by aggregates and joins on the minimizer and on minimizer and content. A path that a
+smaller document has too is repeated as a whole. Where paths of a minimizer differ, the graph branches:
+the first occurrence of each is taken apart into its edges, which are counted one by one. Equal windows
+have equal minimizers at equal places, and whatever edge a later equal path has its first one has too,
+so no repeated edge is missed.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ WIDTH = 13
 #: Words of the inner grams; a window has WIDTH - GRAM + 1 of them.
 GRAM = 5
 ROWS = 50_000
+#: Words that are hashed together; texts are never cut, a longer one goes alone.
+CHUNK = 100_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -44,126 +48,97 @@ def word_hashes(words: list[str]) -> np.ndarray:
 
 
 def gram_hashes(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """A hash of every k consecutive words."""
-    n = max(0, len(h) - k + 1)
-    out = np.full(n, k + (seed << 32), np.uint64)
-    for i in range(k):
-        out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
+    """A hash of every k consecutive words: of two shorter grams that overlap, doubled up from words."""
+    if len(h) < k:
+        return np.zeros(0, np.uint64)
+    out, size = _mixed(h + np.uint64(k + (seed << 32))), 1
+    while size < k:
+        step = min(size, k - size)
+        out = _mixed(out[:-step] * np.uint64(0x9E3779B97F4A7C15) + out[step:])
+        size += step
     return out
 
 
-def paths(h: np.ndarray, width: int = WIDTH, gram: int = GRAM):
-    """(minimizer, content, first window, windows) of the paths of one document.
+def paths(h: np.ndarray, sizes: np.ndarray, width: int = WIDTH, gram: int = GRAM):
+    """(document, minimizer, content, first window, windows) of the paths of several documents.
 
-    ``content`` is a hash of all words under the path and of where the minimizer lies in it.
+    ``h`` has the words of all of them, ``sizes`` how many each has, ``width`` at the least. ``content``
+    is a hash of all words under the path and of where the minimizer lies in it.
     """
     n = len(h) - width + 1
     grams = gram_hashes(h, gram)
     best, at = grams[:n].copy(), np.arange(n)
     for j in range(1, width - gram + 1):
         now = grams[j:j + n]
-        less = now < best
+        less = np.flatnonzero(now < best)
         best[less] = now[less]
-        at[less] = np.flatnonzero(less) + j
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    count = np.diff(np.append(first, n))
+        at[less] = less + j
+    # the windows that lie in one document
+    begin = np.cumsum(sizes) - sizes
+    windows = sizes - width + 1
+    doc = np.repeat(np.arange(len(sizes)), windows)
+    inside = np.repeat(begin - np.cumsum(windows) + windows, windows) + np.arange(len(doc))
+    at = at[inside]
+    first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])))
+    count = np.diff(np.append(first, len(doc)))
+    doc, start = doc[first], inside[first]
     # the words under a path are those under its first and its last window
     edges = gram_hashes(h, width, 1)
-    content = _mixed(edges[first] + np.uint64(0x9E3779B97F4A7C15) * edges[first + count - 1])
-    content = _mixed(content + (at[first] - first).astype(np.uint64) * np.uint64(64)
+    content = _mixed(edges[start] + np.uint64(0x9E3779B97F4A7C15) * edges[start + count - 1])
+    content = _mixed(content + (at[first] - start).astype(np.uint64) * np.uint64(64)
                      + count.astype(np.uint64))
-    return best[first], content, first, count
+    return doc, best[start], content, start - begin[doc], count
 
 
-def _path_rows(width: int, gram: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Paths with the hash of their content; first window and windows share one number."""
-    def rows(parts: list) -> pd.DataFrame:
-        m, c, at, doc, row = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pd.DataFrame({"m": m.view(np.int64), "id": doc, "row": row, "at": at,
-                             "content": c.view(np.int64)})
-
+def _chunks(batches: Iterator[pd.DataFrame], width: int, text) -> Iterator[tuple]:
+    """Rows with ``width`` words or more and the hashes of all their words, some rows at a time."""
     for batch in batches:
-        parts, n = [], 0
-        for row, doc, text in zip(batch["row"], batch["id"], batch["text"], strict=True):
-            words = WORDS.findall(text or "")
-            if len(words) < width:
+        rows, words, sizes, n = [], [], [], 0
+        for k, value in enumerate(batch[text[0]]):
+            mine = WORDS.findall(text[1](value))
+            if len(mine) < width:
                 continue
-            m, content, first, count = paths(word_hashes(words), width, gram)
-            parts.append((m, content, first * width + count - 1, np.full(len(m), doc, np.int64),
-                          np.full(len(m), row, np.int64)))
-            n += len(m)
-            if n > ROWS:
-                yield rows(parts)
-                parts, n = [], 0
-        if parts:
-            yield rows(parts)
-
-
-def _compact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(row, at, whole) of rows sorted by minimizer, document and place.
-
-    A path that equals the one of the group's first document is repeated as a whole; one that
-    differs, and then the first one too, is to be taken apart. Only a group's first row is held.
-    """
-    m0, doc0, row0, at0, c0, told = None, 0, 0, 0, 0, True
-    for batch in batches:
-        m, doc, row, at, content = (
-            batch[c].to_numpy() for c in ("m", "id", "row", "at", "content"))
-        n = len(m)
-        if not n:
-            continue
-        head = np.append(True, m[1:] != m[:-1])
-        head[0] = m0 is None or m[0] != m0
-        start = np.maximum.accumulate(np.where(head, np.arange(n), -1))
-        old = start < 0  # rows of the group that the batch before began
-        begin = np.maximum(start, 0)
-        first_doc = np.where(old, doc0, doc[begin])
-        first_content = np.where(old, c0, content[begin])
-        same = content == first_content
-        later = doc > first_doc
-        differs = ~same
-        out_row, out_at = [row[same & later], row[differs]], [at[same & later], at[differs]]
-        whole = [np.ones((same & later).sum(), bool), np.zeros(differs.sum(), bool)]
-        # the first row of every group in which something differs
-        groups = np.unique(start[differs])
-        if len(groups) and groups[0] < 0:
-            if not told:
-                out_row.append(np.array([row0]))
-                out_at.append(np.array([at0]))
-                whole.append(np.array([False]))
-                told = True
-            groups = groups[1:]
-        out_row.append(row[groups])
-        out_at.append(at[groups])
-        whole.append(np.zeros(len(groups), bool))
-        if head.any():
-            last = int(start[-1])
-            m0, doc0, row0, at0, c0 = m[last], doc[last], row[last], at[last], content[last]
-            told = bool(len(groups) and groups[-1] == last)
-        yield pd.DataFrame({"row": np.concatenate(out_row), "at": np.concatenate(out_at),
-                            "whole": np.concatenate(whole)})
+            rows.append(k)
+            words.append(word_hashes(mine))
+            sizes.append(len(mine))
+            n += len(mine)
+            if n > CHUNK:
+                yield batch.iloc[rows], np.concatenate(words), np.array(sizes)
+                rows, words, sizes, n = [], [], [], 0
+        if rows:
+            yield batch.iloc[rows], np.concatenate(words), np.array(sizes)
+
+
+def _path_rows(width: int, gram: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Paths with the hash of their content; first window and windows share one number."""
+    for rows, h, sizes in _chunks(batches, width, ("text", lambda t: t or "")):
+        doc, m, content, first, count = paths(h, sizes, width, gram)
+        yield pd.DataFrame({
+            "m": m.view(np.int64), "id": rows["id"].to_numpy(np.int64)[doc],
+            "row": rows["row"].to_numpy(np.int64)[doc], "at": first * width + count - 1,
+            "content": content.view(np.int64),
+        })
 
 
 def _edges(width: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The edges of the paths that are taken apart, two hashes each, with their coordinates."""
-    names = ("e1", "e2", "id", "row", "at")
-    for batch in batches:
-        parts, n = [], 0
-        for row, doc, packed, ats in zip(*(batch[c] for c in ("row", "id", "packed", "apart")),
-                                         strict=True):
-            h = word_hashes(WORDS.findall(_text(packed)))
-            ats = np.asarray(ats, np.int64)
-            first, count = ats // width, ats % width + 1
-            at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-            one, two = gram_hashes(h, width, 2), gram_hashes(h, width, 3)
-            parts.append((one[at].view(np.int64), two[at].view(np.int64), np.full(len(at), doc),
-                          np.full(len(at), row), at))
-            n += len(at)
-            if n > ROWS:
-                yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*parts)), strict=True)))
-                parts, n = [], 0
-        if parts:
-            yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*parts)), strict=True)))
+    for rows, h, sizes in _chunks(batches, width, ("packed", _text)):
+        one, two = gram_hashes(h, width, 2), gram_hashes(h, width, 3)
+        ats = [np.asarray(a, np.int64) for a in rows["apart"]]
+        begin = np.repeat(np.cumsum(sizes) - sizes, [len(a) for a in ats])
+        doc = np.repeat(np.arange(len(ats)), [len(a) for a in ats])
+        ats = np.concatenate(ats)
+        first, count = ats // width, ats % width + 1
+        at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        place = at + np.repeat(begin, count)
+        doc = np.repeat(doc, count)
+        for k in range(0, len(at), ROWS):
+            part = slice(k, k + ROWS)
+            yield pd.DataFrame({
+                "e1": one[place[part]].view(np.int64), "e2": two[place[part]].view(np.int64),
+                "id": rows["id"].to_numpy(np.int64)[doc[part]],
+                "row": rows["row"].to_numpy(np.int64)[doc[part]], "at": at[part],
+            })
 
 
 def _later(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,20 +209,36 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, key: str = "doc
     other, and what a smaller document has goes from each of them. A null key takes part in nothing. An
     empty table gives an empty one; other columns are not read.
 
-    At scale: a group of paths or edges is streamed in order with its first row in memory, however
-    many documents share it, and a document deals its paths over as many groups. Only what is
-    repeated leaves the first shuffle. Nothing meets on the driver.
+    At scale: paths meet by aggregates that combine map-side and by joins with stored tables, so a
+    minimizer that a third of all paths have is one row on one side and a skewed join that AQE splits
+    on the other. Minimizers of one document go first, and only first occurrences are taken apart.
+    Equal edges are streamed in order with one row in memory. Nothing meets on the driver.
     """
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     several = rows.where("id IS NOT NULL").groupBy("id").count().where("count > 1").limit(1).count()
     # coordinates need a name for each row: its key, or where keys repeat a hash with the text
     name = F.xxhash64("id", "text") if several else F.col("id")
     rows = rows.select(F.when(F.col("id").isNotNull(), name).alias("row"), "id", "text")
-    repeated = stored(
+    found = stored(
         rows.where("id IS NOT NULL").mapInPandas(
-            partial(_path_rows, width, gram), "m long, id long, row long, at int, content long")
-        .repartition("m").sortWithinPartitions("m", "id", "row", "at")
-        .mapInPandas(_compact, "row long, at int, whole boolean"), "paths",
+            partial(_path_rows, width, gram), "m long, id long, row long, at int, content long"),
+        "paths",
+    )
+    minimizers = stored(
+        found.groupBy("m").agg(
+            F.min("id").alias("low"), F.max("id").alias("high"),
+            (F.min("content") != F.max("content")).alias("branches"),
+        ).where("low < high").select("m", "low", "branches"), "minimizers",
+    )
+    meeting = stored(
+        found.join(minimizers.hint("merge"), "m").where("branches OR id > low").drop("low"), "meeting",
+    )
+    at_branches = meeting.where("branches")
+    firsts = stored(at_branches.groupBy("m", "content").agg(F.min("id").alias("low")), "firsts")
+    repeated = stored(
+        meeting.where("NOT branches").select("row", "at", F.lit(True).alias("whole")).unionByName(
+            at_branches.join(firsts.hint("merge"), ["m", "content"])
+            .select("row", "at", (F.col("id") > F.col("low")).alias("whole"))), "repeated",
     )
     packed = rows.mapInPandas(_pack, "row long, id long, packed binary")
     apart = repeated.where("NOT whole").groupBy("row").agg(
