@@ -9,7 +9,7 @@ is the labelling of least total cost.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -25,7 +25,8 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset(
-    "script style noscript template iframe textarea svg math object canvas audio video head".split()
+    "script style noscript template iframe textarea svg object canvas audio video head annotation "
+    "annotation-xml".split()
 )
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option"}
 #: A new one of these ends an open one of the same set inside the same list or table.
@@ -34,7 +35,7 @@ SIBLINGS = {
     "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"},
 }
 SCOPES = frozenset("ul ol menu dl table select div section article body html".split())
-BOILERPLATE = frozenset("nav footer aside form menu dialog select button fieldset search".split())
+BOILERPLATE = frozenset("nav footer aside menu dialog select button fieldset search".split())
 CONTENT = frozenset("article main".split())
 
 # Words of class, id and role values that tell what an element is for.
@@ -48,6 +49,14 @@ BAD_WORDS = frozenset(
     "alertdialog outbrain taboola teaser paywall disclaimer skip".split()
 )
 GOOD_WORDS = frozenset("article post entry story content maincontent main articlebody".split())
+# Words that name any part of a page. A class name of these and bad words tells of boilerplate; one
+# with another word, such as social-science, tells of a topic.
+PART_WORDS = GOOD_WORDS | frozenset(
+    "area bar block body bottom box button buttons card cards center col column container desktop "
+    "feed fixed global group holder icon icons image inner item items left link links list message "
+    "mobile module outer page pages panel popular posts primary region results right row secondary "
+    "section site slot small sticky text title toggle top unit view wrap wrapper zone".split()
+)
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"
@@ -58,56 +67,77 @@ TOKEN = re.compile(
 #: One attribute, its name and value; all are read in order, so no value is taken for a name.
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 TELLING = frozenset("class id role hidden aria-hidden".split())
-#: Class words before a bad one that say that the page has such a part, or lacks it.
-HAS_OR_NOT = frozenset("has have with no non without".split())
+#: First words of a class name that say what the page has or lacks, or what a post is about.
+OF_THE_PAGE = frozenset(
+    "has have with no non without tag category cat type format status topic term lang author".split()
+)
+#: A form, or an article inside a marked element, with this share of the page's unlinked text is no
+#: part of the boilerplate: such a form holds the page, such an article is the page's.
+OWN_SHARE = 0.5
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 
 #: Weights of the costs and of the ties between blocks.
 INSIDE_BAD = -9.0
 INSIDE_GOOD = 7.0
+HIDDEN = -99.0
 NEXT_TO = 0.6
 SAME_PARENT = 0.9
 
 
+#: An open element: its name and number, what it says of its text, what it says as seen from the
+#: innermost article around it, and the numbers of that article and of the form around it, or 0.
+Place = tuple[str, int, float, float, int, int]
+
+
 class Block:
-    __slots__ = ("text", "parent", "mark", "linked", "heading")
+    __slots__ = ("text", "parent", "mark", "linked", "heading", "inner", "article", "form")
 
-    def __init__(self, text: str, parent: int, mark: float, linked: int, heading: bool) -> None:
-        self.text, self.parent, self.mark = text, parent, mark
-        self.linked, self.heading = linked, heading
+    def __init__(self, text: str, parent: int, linked: int, heading: bool, place: Place) -> None:
+        self.text, self.parent, self.linked, self.heading = text, parent, linked, heading
+        self.mark, self.inner, self.article, self.form = place[2:]
+
+
+def _tells_bad(token: str) -> tuple[bool, bool]:
+    """Whether a class name, id or role tells of boilerplate, and whether of content."""
+    parts = [w.lower() for w in NAME_PART.findall(token)]
+    if not parts or parts[0] in OF_THE_PAGE:
+        return False, False
+    bad = [w for w in parts if w in BAD_WORDS]
+    good = any(w in GOOD_WORDS for w in parts)
+    if not bad:
+        return False, good
+    # the header of an entry has its headline
+    of_entry = good and "main" not in parts and bad == ["header"]
+    return not of_entry and all(
+        w in BAD_WORDS or w in PART_WORDS or len(w) <= 2 for w in parts), False
 
 
 def _mark(tag: str, attributes: str, inherited: float) -> float:
     """What an element says about all that is in it; an element says more than those around it."""
-    if tag in BOILERPLATE or tag == "header" and inherited <= 0:
+    if inherited == HIDDEN:
+        return HIDDEN
+    bad, good = tag in BOILERPLATE or tag == "header" and inherited <= 0, tag in CONTENT
+    if attributes and tag not in ("html", "body"):
+        for name, value in ATTRIBUTE.findall(attributes):
+            name = name.lower()
+            if name not in TELLING:
+                continue
+            if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
+                return HIDDEN
+            for token in value.strip("\"'").split():
+                tells_bad, tells_good = _tells_bad(token)
+                bad, good = bad or tells_bad and tag not in CONTENT, good or tells_good
+    if bad:
         return INSIDE_BAD
-    if tag in CONTENT:
-        return INSIDE_GOOD if inherited >= 0 else inherited
-    if not attributes or tag in ("html", "body"):
-        return inherited
-    good = False
-    for name, value in ATTRIBUTE.findall(attributes):
-        name = name.lower()
-        if name not in TELLING:
-            continue
-        if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
-            return INSIDE_BAD
-        words = set()
-        for token in value.strip("\"'").split():
-            parts = [w.lower() for w in NAME_PART.findall(token)]
-            # has-sidebar and no-ads tell of the page, not of this element
-            words.update(parts if not parts or parts[0] not in HAS_OR_NOT else ())
-        if words & BAD_WORDS:
-            return INSIDE_BAD
-        good = good or bool(words & GOOD_WORDS)
     return INSIDE_GOOD if good and inherited >= 0 else inherited
 
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks of text in order, white space turned into single spaces."""
     out: list[Block] = []
-    stack: list[tuple[str, int, float]] = [("", 0, 0.0)]
+    stack: list[Place] = [("", 0, 0.0, 0.0, 0, 0)]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked, in_link, elements, at = 0, 0, 0, 0
 
@@ -116,18 +146,29 @@ def blocks(html: str) -> list[Block]:
         if text:
             words = " ".join(unescape("".join(text)).split())
             if words:
-                tag, parent, mark = stack[-1]
+                tag, parent = stack[-1][:2]
                 # the block's own element is no tie; the one around it is
                 around = stack[-2][1] if len(stack) > 1 and tag in ("p", "li", "h1", "h2", "h3", "h4",
                                                                    "h5", "h6") else parent
-                out.append(Block(words, around, mark, linked, tag[:1] == "h" and tag[1:].isdigit()))
+                out.append(Block(words, around, linked, tag[:1] == "h" and tag[1:].isdigit(), stack[-1]))
             text.clear()
         linked = 0
 
     def close(k: int) -> None:
         flush()
+        opened.subtract([place[0] for place in stack[k:]])
         del stack[k:]
 
+    def open_element(tag: str, attributes: str) -> None:
+        _, _, mark, inner, article, form = stack[-1]
+        mark = _mark(tag, attributes, mark)
+        if tag in CONTENT:
+            inner, article = _mark(tag, attributes, HIDDEN if mark == HIDDEN else 0.0), elements
+        else:
+            inner = _mark(tag, attributes, inner)
+        stack.append((tag, elements, mark, inner, article, elements if tag == "form" else form))
+        opened[tag] += 1
+
     while True:
         m = TOKEN.search(html, at)
         piece = html[at:m.start()] if m else html[at:]
@@ -148,12 +189,13 @@ def blocks(html: str) -> list[Block]:
             if tag == "a":
                 in_link = max(0, in_link - 1)
             elif tag in BLOCK:
+                if not opened[tag]:
+                    flush()
+                    continue
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
                         close(k)
                         break
-                else:
-                    flush()
             continue
         if tag in RAW:
             if not attributes.rstrip().endswith("/") or tag in ("script", "style", "head"):
@@ -175,7 +217,7 @@ def blocks(html: str) -> list[Block]:
                 text.append(" ")
         elif tag in BLOCK:
             flush()
-            if tag in CLOSES_P:
+            if tag in CLOSES_P and opened["p"]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == "p":
                         close(k)
@@ -183,7 +225,7 @@ def blocks(html: str) -> list[Block]:
                     if stack[k][0] in ("div", "section", "article", "td", "li", "body"):
                         break
             same = SIBLINGS.get(tag)
-            if same:
+            if same and any(opened[name] for name in same):
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] in same:
                         close(k)
@@ -192,13 +234,30 @@ def blocks(html: str) -> list[Block]:
                         break
             if tag not in VOID:
                 elements += 1
-                stack.append((tag, elements, _mark(tag, attributes, stack[-1][2])))
+                open_element(tag, attributes)
         elif tag == "button":
             end = re.compile(r"</button(?=[\s/>])", re.IGNORECASE).search(html, at)
             if end:
                 at = end.start()
     flush()
-    return out
+    return _settled(out)
+
+
+def _settled(page: list[Block]) -> list[Block]:
+    """Sets the marks of blocks in forms, and of those in an article that most of the page is."""
+    own: Counter[int] = Counter()
+    for block in page:
+        if block.mark != HIDDEN:
+            n = max(0, len(block.text) - block.linked)
+            own[0] += n
+            own.update({k: n for k in (block.article, block.form) if k})
+    most = OWN_SHARE * own[0]
+    for block in page:
+        if block.article and own[block.article] >= most:
+            block.mark = block.inner
+        if block.form and own[block.form] < most:
+            block.mark = min(block.mark, INSIDE_BAD)
+    return page
 
 
 LEGAL = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b)|all rights reserved", re.IGNORECASE)

@@ -73,6 +73,52 @@ def test_attributes_are_read_by_name():
         assert html.main_text(f"<div {wrapper}>{body}</div>") == "", wrapper
 
 
+def test_ordinary_wrappers_keep_their_text():
+    body = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>"
+    want = ["Head", clean(LONG), clean(LONG)]
+    nav = "<nav><a href=1>One</a></nav>"
+    for page in (
+        f'<div class="post type-post tag-search category-notices">{body}</div>',
+        f'<div class="section social-science">{body}</div>',
+        f'{nav}<form id="aspnetForm" action="x"><div>{body}</div></form>',
+        f'<form method=post>{nav}<main>{body}</main><footer>© 2024 Site</footer></form>',
+        f'<div class="page-widget"><article>{body}</article></div>',
+        f'<article><header class="entry-header"><h1>Head</h1></header><p>{LONG}</p><p>{LONG}</p></article>',
+        f'<div class="post"><div class="post-header"><h1>Head</h1></div><p>{LONG}</p><p>{LONG}</p></div>',
+    ):
+        assert html.main_text(page).split("\n") == want, page[:80]
+
+
+def test_parts_of_pages_still_go():
+    body = f"<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article>"
+    want = html.main_text(body)
+    assert want.count("\n") == 3
+    for part in (
+        f'<div class="post-comments"><p>{LONG}</p></div>', f'<div class="sidebar-content"><p>{LONG}</p></div>',
+        f'<div class="social-links"><p>{LONG}</p></div>', f'<form><label>Name</label><p>{LONG}</p></form>',
+        f'<div class="related"><article><h2>Other</h2><p>{LONG}</p></article></div>',
+        f'<aside><article><p>{LONG}</p></article></aside>', f'<div class="main-header"><p>{LONG}</p></div>',
+        f'<div hidden><article><p>{LONG * 9}</p></article></div>',
+    ):
+        assert html.main_text(body + part) == html.main_text(part + body) == want, part[:60]
+    inside = body.replace("</article>", f'<div class="comments"><p>{LONG}</p></div></article>')
+    assert html.main_text(f'<div class="widget">{inside}</div>') == want
+
+
+def test_formulas_stay():
+    page = "<article><p>For all <math><mi>x</mi> <mo>&gt;</mo> <mn>2</mn><annotation>x>2</annotation></math> holds.</p></article>"
+    assert html.main_text(page) == "For all x > 2 holds."
+
+
+def test_nested_tags_take_linear_time():
+    import time
+    for tag in ("ul", "div", "blockquote", "li", "section", "form"):
+        started = time.perf_counter()
+        assert html.main_text("<article>" + f"<{tag}>" * 50_000 + "deep text</article>") in ("deep text", "")
+        html.main_text(f"<{tag}>" * 50_000 + "</p></td>" * 50_000 + "<li>" * 1000)
+        assert time.perf_counter() - started < 4, tag
+
+
 def test_odd_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p> </p><!-- x") == ""
     assert html.main_text("<article><p>cut <b>off") == "cut off"
