@@ -30,13 +30,18 @@ RATE = 1.0
 THRESHOLD = 0.3
 #: Odd numbers that deal a pair of word hashes over the buckets; a pair of equal words has bucket 0.
 FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: What a gram's hash is multiplied by for each character.
+PRIME = np.uint64(0x100000001B3)
 #: Distinct words that a task remembers, and the longest of them.
 REMEMBERED, LONG = 200_000, 64
 SLICES = 16
 
 
 class Words:
-    """Number, hash and buckets of every word met; forgets all when there are too many."""
+    """Number, hash and buckets of every word met; forgets all when there are too many.
+
+    With the logits of a model only their sum over a word's buckets is kept, without them the buckets.
+    """
 
     def __init__(self, logits: np.ndarray | None = None):
         self.logits = logits
@@ -45,34 +50,55 @@ class Words:
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.hashes: list[int] = []
-        self.buckets: list = []
+        self.buckets: list[np.ndarray] = []
         self.sums: list[float] = []
         self.counts: list[int] = []
-
-    def add(self, word: str) -> int:
-        raw = zlib.crc32(word.encode())
-        marked = f"<{word}>"
-        grams = [raw] + [
-            zlib.crc32(marked[i:i + n].encode(), n) for n in CHARS for i in range(len(marked) - n + 1)
-        ]
-        found = np.array(grams, np.uint32) % np.uint32(1 << BITS)
-        self.hashes.append(raw)
-        self.counts.append(len(found))
+        self.passing: list[str] = []
+
+    def add(self, words: list[str]) -> None:
+        """Numbers new words; their character n-grams are hashed together, as code points."""
+        raw = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+        sizes = np.array([len(w) + 2 for w in words])
+        begin = np.cumsum(sizes) - sizes
+        text = "".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass")
+        size = len(text) // 4
+        points = np.zeros(size + max(CHARS), np.uint64)  # grams that begin too late are never used
+        points[:size] = np.frombuffer(text, np.uint32)
+        left = np.repeat(begin + sizes, sizes) - np.arange(size)  # characters up to the word's end
+        grams = []
+        for n in CHARS:
+            h = np.full(size, n, np.uint64)
+            for i in range(n):
+                h = (h ^ points[i:size + i]) * PRIME
+            grams.append((n, (h >> np.uint64(64 - BITS)).astype(np.int64)))
+        own = np.array(raw, np.int64) % (1 << BITS)
         if self.logits is None:
-            self.buckets.append(found)
+            for k, (at, long) in enumerate(zip(begin.tolist(), sizes.tolist(), strict=True)):
+                parts = [b[at:at + max(0, long - n + 1)] for n, b in grams]
+                self.buckets.append(np.concatenate([own[k:k + 1], *parts]))
         else:
-            self.sums.append(float(self.logits[found].sum()))
-        number = len(self.hashes) - 1
-        if len(word) <= LONG:
-            self.numbers[word] = number
-        return number
+            values = np.zeros(size)
+            for n, b in grams:
+                values += np.where(left >= n, self.logits[b], 0.0)
+            self.sums += (self.logits[own] + np.add.reduceat(values, begin)).tolist()
+        self.counts += (1 + sum(np.maximum(0, sizes - n + 1) for n in CHARS)).tolist()
+        self.numbers.update(zip(words, range(len(self.hashes), len(self.hashes) + len(words)), strict=True))
+        self.hashes += raw
+        self.passing = [w for w in words if len(w) > LONG]
 
     def look(self, text: str | None) -> list[int]:
         """The numbers of a text's words; good until the next text."""
         if len(self.hashes) > REMEMBERED:
             self.forget()
-        get, add = self.numbers.get, self.add
-        return [add(w) if (k := get(w)) is None else k for w in WORDS.findall(text or "")]
+        for word in self.passing:
+            self.numbers.pop(word)
+        self.passing = []
+        words = WORDS.findall(text or "")
+        fresh = [w for w in set(words) if w not in self.numbers]
+        if fresh:
+            self.add(fresh)
+        numbers = self.numbers
+        return [numbers[w] for w in words]
 
     def pairs(self, numbers: list[int]) -> np.ndarray:
         """The buckets of adjacent words."""

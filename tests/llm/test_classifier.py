@@ -21,7 +21,11 @@ def brute_buckets(text):
         out.append(zlib.crc32(w.encode()) % size)
         for n in (3, 4, 5):
             m = f"<{w}>"
-            out += [zlib.crc32(m[i:i + n].encode(), n) % size for i in range(len(m) - n + 1)]
+            for i in range(len(m) - n + 1):
+                h = n
+                for c in m[i:i + n]:
+                    h = (h ^ ord(c)) * int(classifier.PRIME) % 2**64
+                out.append(h >> (64 - classifier.BITS))
     for a, b in zip(words, words[1:], strict=False):
         x, y = zlib.crc32(a.encode()), zlib.crc32(b.encode())
         mixed = (x * int(classifier.FIRST) + y * int(classifier.SECOND)) % 2**64 >> (64 - classifier.BITS)
