@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,26 +88,84 @@ def virtual_hour(
     return reduce(DataFrame.unionByName, made)
 
 
+class Propagated(NamedTuple):
+    """All virtual rows after a change, the keys that were computed again, and their rows."""
+
+    rows: DataFrame
+    dirty: DataFrame
+    computed: DataFrame
+
+
+def propagate(
+    stored_rows: DataFrame, changed: DataFrame, hour_rows: DataFrame, virtual_items: DataFrame,
+    item_codes: DataFrame, queue: DataFrame, newly_due: DataFrame, store: Store = stored,
+) -> Propagated:
+    """What ``virtual_hour`` gives after a change, computed only where the change reaches.
+
+    ``stored_rows`` are its rows from before, ``changed`` the keys (item, type, hour) of the hour rows
+    that came, went or moved since, ``newly_due`` the queue rows that came; the other tables are as
+    they are now, with the same formulas as before. A changed key makes those items dirty at its
+    hour that read it, these make dirty what reads them, level by level; newly queued collectors
+    make their items dirty. Only dirty keys are computed, from the hours that hold any, and stored rows
+    stand in for inputs that are not.
+    """
+    compiled = store(definitions(virtual_items), "formulas")
+    inputs = store(formula_inputs(compiled, item_codes), "inputs")
+    order = formula_graph.levels(compiled, dependencies(compiled, inputs), store)
+    queue = store(queue.where(F.col("type") == OWN).distinct(), "due")
+    due = store(
+        compiled.join(_due_hours(newly_due), ["building_code", "collector_code"])
+        .select(*HOUR_KEY).distinct(), "newly_due",
+    )
+    moved = store(changed.select(*HOUR_KEY).distinct(), "changed")
+    touched = moved.select("date_time").unionByName(due.select("date_time")).distinct()
+    own = hour_rows.select(*HOUR_COLUMNS).join(touched, "date_time", "left_semi")
+    known, old = own.select(*HOUR_COLUMNS), stored_rows.select(*HOUR_COLUMNS)
+    dirty, computed = [], []
+    for n, items in enumerate(order):
+        mine = compiled.join(items, formula_graph.NODE, "left_semi")
+        sources = reduce(DataFrame.unionByName, [moved, *dirty]).select(
+            F.col("item_name").alias("source_name"), F.col("type_id").alias("source_type_id"), "date_time")
+        reached = inputs.join(sources, formula_graph.SOURCE).select(*HOUR_KEY)
+        at = reached.unionByName(due).join(items, formula_graph.NODE, "left_semi").distinct()
+        dirty.append(store(at, f"dirty{n}"))
+        computed.append(store(_level(known, mine, inputs, queue, dirty[-1]), f"computed{n}"))
+        # What this level's items are at the touched hours, for the levels above.
+        still = old.join(items, formula_graph.NODE, "left_semi").join(touched, "date_time", "left_semi")
+        still = still.select(*HOUR_COLUMNS).join(dirty[-1], HOUR_KEY, "left_anti")
+        known = known.unionByName(still.select(*HOUR_COLUMNS)).unionByName(computed[-1])
+    again, made = (reduce(DataFrame.unionByName, x) for x in (dirty, computed))
+    kept = old.join(again, HOUR_KEY, "left_anti").select(*HOUR_COLUMNS)
+    return Propagated(kept.unionByName(made), again, made)
+
+
+def _due_hours(queue: DataFrame) -> DataFrame:
+    """Collectors and the hours that their virtual items are due for."""
+    return queue.where(F.col("type") == OWN).select(
+        F.col("build_code").alias("building_code"), "collector_code",
+        (times.stamp_to_hour(F.col("timestamp")) - times.hours(1)).alias("date_time"),
+    ).distinct()
+
+
 def _level(
-    hour_rows: DataFrame, compiled: DataFrame, inputs: DataFrame, queue: DataFrame
+    hour_rows: DataFrame, compiled: DataFrame, inputs: DataFrame, queue: DataFrame,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """Hour rows of items whose inputs all are among ``hour_rows``."""
+    """Hour rows of items whose inputs all are among ``hour_rows``; of some keys only if given."""
     inputs = inputs.join(compiled.select(*formula_graph.NODE), formula_graph.NODE, "left_semi")
     valid = hour_rows.where(F.col("error") == 0).select(
         F.col("item_name").alias("source_name"), F.col("type_id").alias("source_type_id"),
         "date_time", F.col("type").alias("source_type"),
         F.struct(*[F.col(m).cast("double").alias(m) for m in METRICS]).alias("amounts"),
     )
+    read = valid.join(inputs, formula_graph.SOURCE).where(_same_side())
+    if only is not None:
+        read = read.join(only, HOUR_KEY, "left_semi")
     gathered = (
-        valid.join(inputs, formula_graph.SOURCE)
-        .where(_same_side())
-        .groupBy("item_name", "type_id", "date_time")
+        read.groupBy("item_name", "type_id", "date_time")
         .agg(F.map_from_entries(F.collect_list(F.struct("item_id", "amounts"))).alias("inputs"))
     )
-    due = queue.where(F.col("type") == OWN).select(
-        F.col("build_code").alias("building_code"), "collector_code",
-        (times.stamp_to_hour(F.col("timestamp")) - times.hours(1)).alias("date_time"),
-    ).distinct()
+    due = _due_hours(queue)
 
     def result(metric: str):
         inputs = F.transform_values("inputs", lambda _, amounts: amounts[metric])

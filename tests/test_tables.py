@@ -248,3 +248,41 @@ def test_an_invalid_nested_row_is_a_missing_input(spark):
     got = {r.item_name: (float(r.value), r.error) for r in virtual.virtual_hour(
         hours, d.virtuals, d.codes, own_hours(spark, [0])).collect()}
     assert got == {"B0_G0_v10": (0.0, 2), "B0_G0_v11": (7.0, 0)}
+
+
+def test_propagation_is_a_full_recompute_of_few_rows(spark):
+    import random
+
+    formulas = {10: "1 + d1", 11: "10 + 2", 12: "11 + 10", 13: "3 + 2", 14: "15 + 1", 15: "14", 16: "15 + 13"}
+    d = formula_dimensions(spark, formulas)
+    items = d.item.unionByName(spark.createDataFrame(
+        [(2, "m2", 1, 11, None, None, None), (3, "m3", 1, 11, None, None, None)], d.item.schema))
+    d = dims.Dimensions(d.building, d.collector, items, d.item_type, d.item_virtual, d.subentry)
+    rng = random.Random(4)
+    before = {(m, h): str(rng.randrange(1, 50)) for m in ("m1", "m2", "m3") for h in range(12)}
+    after = dict(before)
+    after["m1", 3] = "77"      # moves: 10, 11 and 12 follow
+    del after["m3", 5]         # goes: 13 and, by way of it, 16
+    after["m2", 11] = "5"
+
+    def rows(values):
+        return hour_rows(spark, [(m, h, v) for (m, h), v in values.items()])
+
+    def full(values, hours):
+        return virtual.virtual_hour(rows(values), d.virtuals, d.codes, own_hours(spark, hours))
+
+    changed = spark.createDataFrame(
+        [(f"B0_G0_{m}", 11, at(h)) for m, h in (("m1", 3), ("m3", 5), ("m2", 11))],
+        "item_name string, type_id int, date_time timestamp")
+    old = full(before, range(11))  # hour 11 is due only now
+    got = virtual.propagate(old, changed, rows(after), d.virtuals, d.codes,
+                            own_hours(spark, range(12)), own_hours(spark, [11]))
+    want = {(r.item_name, r.date_time): r.value for r in full(after, range(12)).collect()}
+    assert {(r.item_name, r.date_time): r.value for r in got.rows.collect()} == want
+    dirty = {(r.item_name[-3:], r.date_time) for r in got.dirty.collect()}
+    assert dirty == ({(f"v{i}", at(3)) for i in (10, 11, 12)} | {(f"v{i}", at(5)) for i in (13, 16)}
+                     | {(f"v{i}", at(11)) for i in (10, 11, 12, 13, 16)})
+    assert got.computed.count() <= len(dirty)
+    none = virtual.propagate(old, changed.limit(0), rows(before), d.virtuals, d.codes,
+                             own_hours(spark, range(11)), own_hours(spark, []))
+    assert none.dirty.count() == 0 and sorted(none.rows.collect()) == sorted(old.collect())

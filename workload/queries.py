@@ -410,6 +410,23 @@ def virtual_nested(spark, sf):
     return as_double(virtual.virtual_hour(_stored_hours(spark, sf), d.virtuals, d.codes, own))
 
 
+@query
+def virtual_propagate(spark, sf):
+    """The nested items again: computed from the hours up to a time, then what the rest changes."""
+    d = views.nested_dimensions(spark, sf)
+    hours = _stored_hours(spark, sf)
+    own = _stored(work_queue.data_access_events(views.readings(spark, sf), P.NOW), "queue")
+    split = F.lit(P.SPLIT).cast("timestamp")
+    # Before the split only the hours of even days were there, and the queue had not gone further.
+    early = (F.col("date_time") < split) & (F.dayofmonth("date_time") % 2 == 0)
+    queued = times.stamp_to_hour(F.col("timestamp")) < split
+    before = _stored(virtual.virtual_hour(
+        hours.where(early), d.virtuals, d.codes, own.where(queued)), "before")
+    after = virtual.propagate(
+        before, hours.where(~early), hours, d.virtuals, d.codes, own, own.where(~queued))
+    return as_double(after.rows)
+
+
 # --- work queue
 
 

@@ -636,6 +636,9 @@ _QUERIES = {
 }
 
 
+_QUERIES["virtual_propagate"] = _QUERIES["virtual_nested"]
+
+
 def _with_views(query: str) -> str:
     query = query.strip()
     if query.startswith("WITH RECURSIVE "):
