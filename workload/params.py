@@ -60,3 +60,5 @@ PER_BATCH = 50
 # Partition 3 is not recorded, partition 2 from its start; offset 1 has aged out of any log here.
 VALID_OFFSETS = [(0, 1_000_000_000), (1, 40), (2, 0)]
 AGED_OFFSETS = [(0, 1_000_000_000), (1, 1), (2, 0)]
+CUSTOMERS = [1, 7, 44, 100, 1_000_000_000]
+CUSTOMER_RANGE = (60, 75)

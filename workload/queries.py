@@ -17,7 +17,7 @@ from gridtally.plans.backfill import backfill, resume
 from gridtally.plans.tables import MeterTables
 from gridtally.schemas import READING_FIELDS, SUBENTRY_BUCKETS, as_double
 from gridtally.sources import readings as sources
-from gridtally.sources import tables
+from gridtally.sources import keyed, tables
 from gridtally.streaming import hourly as hourly_streams
 from gridtally.streaming import ingest, live
 from workload import params as P
@@ -111,6 +111,17 @@ def column_range_scan(spark, sf):
     )
 
 
+@query
+def indexed_lookup(spark, sf):
+    """Some customers' orders, and those of a range of customers, from a table laid out by customer."""
+    path = scratch(spark, "orders")
+    orders = views.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    keyed.write_keyed(orders, path, "o_custkey", 16)
+    some = keyed.get_rows(spark, path, "o_custkey", P.CUSTOMERS)
+    between = keyed.get_range(spark, path, "o_custkey", *P.CUSTOMER_RANGE)
+    return some.withColumn("lookup", F.lit("keys")).unionByName(between.withColumn("lookup", F.lit("range")))
+
+
 @query
 def row_count(spark, sf):
     return tables.row_count(views.table(spark, sf, "lineitem"))

@@ -458,6 +458,10 @@ _QUERIES = {
           AND regexp_matches(c_name, '^Customer#')""",
     "column_range_scan": """SELECT s_name, concat_ws(',', s_name, CAST(s_nationkey AS VARCHAR)) AS cells
         FROM supplier WHERE s_nationkey BETWEEN 3 AND 12 AND regexp_matches(s_name, '[0-4]$')""",
+    "indexed_lookup": f"""SELECT o_custkey, o_orderkey, o_orderstatus, 'keys' AS lookup FROM orders
+        WHERE o_custkey IN ({', '.join(map(str, P.CUSTOMERS))}) UNION ALL
+        SELECT o_custkey, o_orderkey, o_orderstatus, 'range' FROM orders
+        WHERE o_custkey BETWEEN {P.CUSTOMER_RANGE[0]} AND {P.CUSTOMER_RANGE[1]}""",
     "row_count": "SELECT count(*) AS n_rows FROM lineitem",
     # scalar functions
     "valid_time": f"""SELECT event_id,
