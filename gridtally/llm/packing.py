@@ -1,12 +1,13 @@
 """Packing token sequences into windows: non-negative least squares over length combinations.
 
 Documents are cut into whole windows and one remainder. The remainders' histogram has fewer bins than
-the window has tokens. Combinations of two or three lengths that fill the window are enumerated, their
-repeat counts are solved against the histogram by non-negative least squares and rounded down, and the
-remainders that are left are packed greedily, one after the other, cut where a window ends. The last
-window is cut into powers of two, so nothing is padded.
+the window has tokens. Combinations of lengths that fill the window are enumerated (pairs, triples, and
+deeper ones drawn along the histogram), their repeat counts are solved against the histogram by
+non-negative least squares and rounded, and rounds over what is left follow. The few remainders that no
+round places are packed greedily, one after the other, cut where a window ends. The last window is cut
+into powers of two, so nothing is padded.
 
-The plan is a few thousand combinations, whatever the number of documents. A document finds its
+The plan is some thousands of combinations, whatever the number of documents. A document finds its
 combination by its rank among those of its length; ranks are counted in SALT_ROWS-sized parts, so a
 length that a third of all documents share is no single task.
 """
@@ -26,7 +27,13 @@ from gridtally.llm.common import stored
 WINDOW = 4096
 #: Lengths that may occur twice in a combination of three, the most frequent ones.
 SHALLOW = 64
-SWEEPS = 60
+#: Most lengths in a combination; a length may occur in it more than once.
+DEEPEST = 16
+#: Combinations that one round adds, and updates that settle its repeat counts.
+ROUND = 4096
+UPDATES = 200
+#: Rounds end when one places less than a hundredth of what is left, or here.
+MOST_ROUNDS = 24
 #: Rows whose ranks are counted in one part.
 SALT_ROWS = 200_000
 BIG = 1 << 44
@@ -51,35 +58,103 @@ def combinations(histogram: np.ndarray, shallow: int = SHALLOW) -> np.ndarray:
     return every.astype(np.int64)
 
 
-def solve(histogram: np.ndarray, combos: np.ndarray, sweeps: int = SWEEPS) -> np.ndarray:
-    """How often each combination is used: least squares with counts >= 0, then rounded down.
+def deeper(histogram: np.ndarray, rng: np.random.Generator, most: int = ROUND,
+           deepest: int = DEEPEST) -> np.ndarray:
+    """Rows of up to ``deepest`` lengths (0: none) that fill the window, drawn along the histogram.
 
-    One coordinate after the other is set to its best value, which settles for non-negative least
-    squares. After rounding no length is used more often than it occurs.
+    A row starts with one length, every length that occurs in turn, the longest first. Lengths drawn
+    in proportion to their numbers follow while there is room for more than two, and the pair (or the
+    one length) that then fills the window exactly is the one whose rarer length is most frequent. A
+    start for which none fits gives no row.
     """
-    left = histogram.astype(float).copy()
-    uses = []
-    for row in combos:
+    window = len(histogram)
+    lengths = np.flatnonzero(histogram[1:]) + 1
+    if not len(lengths):
+        return np.zeros((0, deepest), np.int64)
+    shares = np.cumsum(histogram[lengths]) / histogram.sum()
+    mean = float((histogram[lengths] * lengths).sum() / histogram.sum())
+    numbers = histogram.copy()
+    numbers[0] = BIG  # a pair may be one length that fills the room by itself
+    rows = np.zeros((most, deepest), np.int64)
+    made, starts = 0, lengths[::-1]
+    draws = lengths[np.minimum(np.searchsorted(shares, rng.random((most, deepest))), len(lengths) - 1)]
+    for i in range(most):
+        row = [int(starts[i % len(starts)])]
+        room = window - row[0]
+        for x in draws[i].tolist():
+            if len(row) >= deepest - 2 or room <= 2 * mean:
+                break
+            if x < room:
+                row.append(x)
+                room -= x
+        if room:
+            rarer = np.minimum(numbers[1:room + 1], numbers[room - 1::-1] if room > 1 else numbers[:1])
+            x = int(rarer.argmax()) + 1
+            if not rarer[x - 1]:
+                continue
+            row += [x, room - x]
+        rows[made, :len(row)] = row
+        made += 1
+    return np.unique(np.sort(rows[:made], 1), axis=0)[:, ::-1]
+
+
+def solve(histogram: np.ndarray, combos: np.ndarray, updates: int = UPDATES) -> np.ndarray:
+    """How often each combination is used: least squares with counts >= 0, then rounded.
+
+    Multiplicative updates keep every count non-negative and never raise the squared distance between
+    the histogram and the lengths used. The largest counts are rounded first, to the nearest number
+    (at least one) that leaves no length used more often than it occurs.
+    """
+    counts = np.zeros(len(combos), np.int64)
+    if not len(combos):
+        return counts
+    target = histogram.astype(float)
+    target[0] = 0.0
+    wanted = target[combos].sum(1)
+    x = np.full(len(combos), target.sum() / max(1, np.count_nonzero(combos)))
+    for _ in range(updates):
+        uses = np.bincount(combos.ravel(), np.repeat(x, combos.shape[1]), len(histogram))
+        uses[0] = 0.0
+        x *= wanted / np.maximum(uses[combos].sum(1), 1e-12)
+    rest = histogram.astype(np.int64).copy()
+    for c in np.argsort(-x, kind="stable").tolist():
+        row = combos[c]
         lengths, times = np.unique(row[row > 0], return_counts=True)
-        uses.append((lengths, times, float((times * times).sum())))
-    x = np.zeros(len(combos))
-    for _ in range(sweeps):
-        moved = 0.0
-        for c, (lengths, times, norm) in enumerate(uses):
-            step = max(-x[c], float((left[lengths] * times).sum()) / norm)
-            if step:
-                x[c] += step
-                left[lengths] -= step * times
-                moved = max(moved, abs(step))
-        if moved < 0.25:
-            break
-    counts, rest = np.zeros(len(combos), np.int64), histogram.astype(np.int64).copy()
-    for c, (lengths, times, _) in enumerate(uses):
-        counts[c] = min(int(x[c] + 1e-9), int((rest[lengths] // times).min()))
+        counts[c] = min(max(1, int(x[c] + 0.5)), int((rest[lengths] // times).min()))
         rest[lengths] -= counts[c] * times
     return counts
 
 
+def solved(histogram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(combinations, counts) that use up most of a histogram.
+
+    Pairs and triples are solved together with deeper combinations, those that were used stay, and
+    rounds over deeper combinations of the lengths still left follow. Their number is bounded by
+    rounds and combinations a round, whatever the number of documents; what is left is for the greedy
+    stream. Seeded, so reruns agree.
+    """
+    rng = np.random.default_rng(len(histogram))
+    left = histogram.astype(np.int64).copy()
+    left[0] = 0
+    every, numbers = [np.zeros((0, DEEPEST), np.int64)], [np.zeros(0, np.int64)]
+    for i in range(MOST_ROUNDS):
+        combos = deeper(left, rng)
+        if not i:
+            first = combinations(left)
+            combos = np.concatenate([np.pad(first, ((0, 0), (0, DEEPEST - 3))), combos])
+        counts = solve(left, combos)
+        used = counts > 0
+        combos, counts = combos[used], counts[used]
+        every.append(combos)
+        numbers.append(counts)
+        placed = np.bincount(combos.ravel(), np.repeat(counts, DEEPEST), len(left)).astype(np.int64)
+        placed[0] = 0
+        if placed.sum() * 100 < left.sum() or not placed.sum():
+            break
+        left -= placed
+    return np.concatenate(every), np.concatenate(numbers)
+
+
 class Plan:
     """Which combination takes the k-th remainder of a length, and where."""
 
@@ -150,8 +225,7 @@ def pieces(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     histogram = np.zeros(window, np.int64)  # one row per length: at most the window's tokens
     for r in counts.where("rest > 0").groupBy("rest").agg(F.sum("rows").alias("n")).collect():
         histogram[r.rest] = r.n
-    combos = combinations(histogram)
-    plan = Plan(histogram, combos, solve(histogram, combos))
+    plan = Plan(histogram, *solved(histogram))
     full = int(counts.agg(F.coalesce(F.sum("whole"), F.lit(0))).first()[0])
     total = int(((histogram - plan.used) * np.arange(window)).sum())
     cuts = last_cuts(total, window)

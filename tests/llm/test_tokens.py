@@ -117,13 +117,40 @@ def test_pack_odd_rows(plain, spark, monkeypatch):
         [(0, 1), (1, 3), (1, 3)], [(0, 1), (1, 1), (1, 2), (1, 3)], [(0, 1), (1, 1), (1, 2), (1, 1), (1, 2)])
 
 
-def test_combinations_are_used():
-    rng = np.random.default_rng(1)
-    histogram = np.bincount(rng.choice([100, 1000, 1996, 2048, 3096, 3996], 5000), minlength=4096)
-    combos = packing.combinations(histogram)
-    assert (combos.sum(1) == 4096).all()
-    counts = packing.solve(histogram, combos)
+def share(histogram):
+    """The share of remainders that solved combinations place; every one fills the window."""
+    combos, counts = packing.solved(histogram)
+    assert (combos.sum(1) == 4096).all() and (counts > 0).all()
     used = np.zeros(4096, int)
     for row, n in zip(combos, counts):
         np.add.at(used, row[row > 0], n)
-    assert (used <= histogram).all() and used.sum() > 0.8 * histogram.sum()
+    assert used[0] == 0 and (used <= histogram).all()
+    return used.sum() / max(1, histogram[1:].sum())
+
+
+def test_combinations_are_used():
+    rng = np.random.default_rng(1)
+    assert share(np.bincount(rng.choice([100, 1000, 1996, 2048, 3096, 3996], 5000), minlength=4096)) > 0.8
+    quarter = np.zeros(4096, int)
+    quarter[3], quarter[1024] = 5, 10**9
+    assert share(quarter) > 0.99
+    quarter[1024], quarter[1] = 0, 10**6  # no 16 of these fill a window
+    assert share(quarter) == 0 and share(quarter * 0) == 0
+
+
+def test_first_combinations():
+    rng = np.random.default_rng(2)
+    histogram = np.bincount(rng.integers(1, 4096, 3000), minlength=4096)
+    for combos in (packing.combinations(histogram), packing.deeper(histogram, rng)):
+        assert len(combos) and (combos.sum(1) == 4096).all()
+        assert (histogram[combos[combos > 0]] > 0).all()
+
+
+@pytest.mark.parametrize("times", [1, 1000])
+def test_most_supplied_remainders_are_placed_by_the_plan(spark, times):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    n = np.array([len(ids) // encoder.dtype.itemsize for ids in encoder.encode(texts)])
+    histogram = np.bincount(n % 4096, minlength=4096) * times
+    histogram[700] += len(n) * times // 2  # a hot length
+    assert share(histogram) > 0.95
