@@ -76,8 +76,8 @@ PATTERN = "|".join((
     rf"{_EDGE}(?=[0-9]*+[A-Fa-f])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{{32,}}+{_END}",
     rf"{_EDGE}(?:AKIA[0-9A-Z]{{16}}|gh[oprsu]_[A-Za-z0-9]{{36,}}|sk-[A-Za-z0-9]{{20,}}|{_KEY}[A-Za-z0-9]{{16,}}){_END}",
     rf"{_EDGE}eyJ[\w-]{{8,}}+\.[\w-]{{8,}}+\.[\w-]{{8,}}+",
-    # the value of a password, with a digit in it
-    rf"(?<=(?i:password|passwd|pwd)[=:])(?={_VALUE}*\d){_VALUE}{{6,}}+",
+    # the value of a password, with a digit in it; one character tells most places that are none
+    rf"(?<=[=:])(?<=(?i:password|passwd|pwd).)(?={_VALUE}*\d){_VALUE}{{6,}}+",
     # names after a form of address
     rf"{_EDGE}(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}",
 ))
