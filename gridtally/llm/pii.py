@@ -44,7 +44,8 @@ _TITLE = "|".join(t + r"(?=\.)" if t in DOTTED else t for t in MALE + FEMALE + N
 PRIVATE = r"^(?:10|127|192\.168|169\.254|172\.(?:1[6-9]|2\d|3[01]))\."
 _KEY = r"(?:sk|pk|rk)_(?:live|test)_"
 _VALUE = r"[^\s\"'&;,<>]"
-PATTERN = "|".join((
+# Nothing begins right after a letter or a digit, which one look back tells at most places.
+PATTERN = _EDGE + "(?:" + "|".join((
     # e-mail addresses
     r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     # network addresses
@@ -79,8 +80,8 @@ PATTERN = "|".join((
     # the value of a password, with a digit in it; one character tells most places that are none
     rf"(?<=[=:])(?<=(?i:password|passwd|pwd).)(?={_VALUE}*\d){_VALUE}{{6,}}+",
     # names after a form of address
-    rf"{_EDGE}(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}",
-))
+    rf"(?=\p{{Lu}})(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}",
+)) + ")"
 
 #: A word that may be a name, and what may follow the name in it: a genitive, a dash.
 WORD = rf"{_EDGE}{_NAME}"
