@@ -54,9 +54,30 @@ def _same_side() -> Column:
     return text.is_electric(F.col("type")) == text.is_electric(F.col("source_type"))
 
 
+class Formulas(NamedTuple):
+    """Compiled items, the items they read, and the levels in which they are computed."""
+
+    compiled: DataFrame
+    inputs: DataFrame
+    order: list[DataFrame]
+
+
+def formulas(
+    virtual_items: DataFrame, item_codes: DataFrame, store: Store = stored
+) -> Formulas:
+    """What all computations with the same formulas share, compiled and put in order once."""
+    compiled = store(definitions(virtual_items), "formulas")
+    inputs = store(formula_inputs(compiled, item_codes), "inputs")
+    order = formula_graph.levels(compiled, dependencies(compiled, inputs), store)
+    return Formulas(compiled, inputs, order)
+
+
+_formulas = formulas  # under a name that no parameter hides
+
+
 def virtual_hour(
     hour_rows: DataFrame, virtual_items: DataFrame, item_codes: DataFrame, queue: DataFrame,
-    store: Store = stored,
+    store: Store = stored, formulas: Formulas | None = None,
 ) -> DataFrame:
     """Hour rows of virtual items, also of those whose formulas read virtual items.
 
@@ -69,15 +90,19 @@ def virtual_hour(
     Items are computed level by level, one join each, so that every input is there before it is
     read. Items that read themselves, directly or by way of others, have no rows. ``store`` keeps
     the rows of a level for the next; where no formula reads a virtual item it is not used.
+    ``formulas`` are those of the items and codes if they were compiled before.
     """
-    compiled = definitions(virtual_items)
-    inputs = formula_inputs(compiled, item_codes)
-    order = formula_graph.levels(compiled, dependencies(compiled, inputs), store)
+    if formulas is None:
+        compiled = definitions(virtual_items)
+        inputs = formula_inputs(compiled, item_codes)
+        order = formula_graph.levels(compiled, dependencies(compiled, inputs), store)
+    else:
+        compiled, inputs, order = formulas
     if len(order) == 1:
         mine = compiled.join(order[0], formula_graph.NODE, "left_semi")
         return _level(hour_rows, mine, inputs, queue)
-    # What every level reads again.
-    compiled, inputs = store(compiled, "formulas"), store(inputs, "inputs")
+    if formulas is None:  # what every level reads again
+        compiled, inputs = store(compiled, "formulas"), store(inputs, "inputs")
     queue = store(queue.where(F.col("type") == OWN).distinct(), "due")
     made: list[DataFrame] = []
     known = hour_rows.select(*HOUR_COLUMNS)
@@ -99,6 +124,7 @@ class Propagated(NamedTuple):
 def propagate(
     stored_rows: DataFrame, changed: DataFrame, hour_rows: DataFrame, virtual_items: DataFrame,
     item_codes: DataFrame, queue: DataFrame, newly_due: DataFrame, store: Store = stored,
+    formulas: Formulas | None = None,
 ) -> Propagated:
     """What ``virtual_hour`` gives after a change, computed only where the change reaches.
 
@@ -107,11 +133,9 @@ def propagate(
     they are now, with the same formulas as before. A changed key makes those items dirty at its
     hour that read it, these make dirty what reads them, level by level; newly queued collectors
     make their items dirty. Only dirty keys are computed, from the hours that hold any, and stored rows
-    stand in for inputs that are not.
+    stand in for inputs that are not. ``formulas`` are as in ``virtual_hour``.
     """
-    compiled = store(definitions(virtual_items), "formulas")
-    inputs = store(formula_inputs(compiled, item_codes), "inputs")
-    order = formula_graph.levels(compiled, dependencies(compiled, inputs), store)
+    compiled, inputs, order = formulas or _formulas(virtual_items, item_codes, store)
     queue = store(queue.where(F.col("type") == OWN).distinct(), "due")
     due = store(
         compiled.join(_due_hours(newly_due), ["building_code", "collector_code"])

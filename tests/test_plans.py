@@ -69,3 +69,34 @@ def test_readings_are_a_running_total(spark):
         "event_type = 'click' AND value IS NOT NULL AND value NOT IN ('NaN', '48,892.60')")
     assert want.count() > 0
     assert got.where(F.col("value").cast("decimal(28,2)") != F.col("t")).count() == 0
+
+
+def test_queue_and_lookups_do_not_read_the_events_again(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from gridtally.operators import queue
+    from workload.params import NOW
+
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(minutes=17 * i), i % 13, ("click", "view", "error")[i % 3], 1.5 * i,
+             f'{{"k": {i % 50}}}') for i in range(120)]
+    rows += [(200, None, 1, "click", 1.0, '{"k": 1}'), (201, start + timedelta(days=9), None, "view", 1.0, '{"k": 1}'),
+             (202, start + timedelta(days=9), 3, None, 1.0, '{"k": 1}'), rows[0], rows[5]]
+    spark.createDataFrame(
+        rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    columns = ["building_id", "gate_id", "ts_str"]
+    whole = views.readings(spark, str(tmp_path)).select(columns)
+    few = views.arrivals(spark, str(tmp_path))
+    assert few.exceptAll(whole).count() == 0 and few.count() == whole.count() == 122
+    plan = queue.data_access_events(few, NOW)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    for d in (views.meter_dimensions(spark, str(tmp_path)), views.nested_dimensions(spark, str(tmp_path))):
+        for lookup in (d.limits, d.codes, d.virtuals, d.item_type):
+            assert not [f for f in lookup.inputFiles() if "events.parquet" in f]
+
+
+def test_queries_queue_without_registers(spark):
+    for name in ("data_access_events", "queue_pending"):
+        plan = Q.REGISTRY[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "starts" not in plan and "Join" not in plan

@@ -286,3 +286,19 @@ def test_propagation_is_a_full_recompute_of_few_rows(spark):
     none = virtual.propagate(old, changed.limit(0), rows(before), d.virtuals, d.codes,
                              own_hours(spark, range(11)), own_hours(spark, []))
     assert none.dirty.count() == 0 and sorted(none.rows.collect()) == sorted(old.collect())
+
+
+def test_formulas_are_put_in_order_once(spark, monkeypatch):
+    d = formula_dimensions(spark, {10: "1 + d1", 11: "10 + 1", 12: "12", 13: "12 + 11"})
+    rows = hour_rows(spark, [("m1", h, str(h + 1)) for h in range(4)])
+    queue = own_hours(spark, range(4))
+    want = virtual.virtual_hour(rows, d.virtuals, d.codes, queue)
+    made = virtual.formulas(d.virtuals, d.codes)
+    monkeypatch.setattr(virtual.formula_graph, "levels", None)
+    before = virtual.virtual_hour(
+        rows.where(F.hour("date_time") < 2), d.virtuals, d.codes, queue, formulas=made)
+    after = virtual.propagate(
+        before, rows.where(F.hour("date_time") >= 2), rows, d.virtuals, d.codes, queue,
+        queue.limit(0), formulas=made)
+    assert want.count() > before.count() > 0
+    assert sorted(after.rows.collect()) == sorted(want.collect())

@@ -387,7 +387,7 @@ def third_party_subentry_day(spark, sf):
 
 def _virtual_hours(spark: SparkSession, sf: str, hours: DataFrame | None = None) -> DataFrame:
     d = views.meter_dimensions(spark, sf)
-    own = work_queue.data_access_events(views.readings(spark, sf), P.NOW)
+    own = work_queue.data_access_events(views.arrivals(spark, sf), P.NOW)
     hours = _hours(spark, sf) if hours is None else hours
     return virtual.virtual_hour(hours, d.virtuals, d.codes, own)
 
@@ -417,7 +417,7 @@ def virtual_day_rollup(spark, sf):
 def virtual_nested(spark, sf):
     """Items over items over meters, in two buildings, and formulas that read themselves."""
     d = views.nested_dimensions(spark, sf)
-    own = work_queue.data_access_events(views.readings(spark, sf), P.NOW)
+    own = work_queue.data_access_events(views.arrivals(spark, sf), P.NOW)
     return as_double(virtual.virtual_hour(_stored_hours(spark, sf), d.virtuals, d.codes, own))
 
 
@@ -426,15 +426,17 @@ def virtual_propagate(spark, sf):
     """The nested items again: computed from the hours up to a time, then what the rest changes."""
     d = views.nested_dimensions(spark, sf)
     hours = _stored_hours(spark, sf)
-    own = _stored(work_queue.data_access_events(views.readings(spark, sf), P.NOW), "queue")
+    own = _stored(work_queue.data_access_events(views.arrivals(spark, sf), P.NOW), "queue")
     split = F.lit(P.SPLIT).cast("timestamp")
     # Before the split only the hours of even days were there, and the queue had not gone further.
     early = (F.col("date_time") < split) & (F.dayofmonth("date_time") % 2 == 0)
     queued = times.stamp_to_hour(F.col("timestamp")) < split
+    formulas = virtual.formulas(d.virtuals, d.codes)
     before = _stored(virtual.virtual_hour(
-        hours.where(early), d.virtuals, d.codes, own.where(queued)), "before")
+        hours.where(early), d.virtuals, d.codes, own.where(queued), formulas=formulas), "before")
     after = virtual.propagate(
-        before, hours.where(~early), hours, d.virtuals, d.codes, own, own.where(~queued))
+        before, hours.where(~early), hours, d.virtuals, d.codes, own, own.where(~queued),
+        formulas=formulas)
     return as_double(after.rows)
 
 
@@ -443,7 +445,7 @@ def virtual_propagate(spark, sf):
 
 @query
 def data_access_events(spark, sf):
-    return work_queue.data_access_events(views.readings(spark, sf), P.NOW)
+    return work_queue.data_access_events(views.arrivals(spark, sf), P.NOW)
 
 
 @query

@@ -15,7 +15,9 @@ from gridtally.functions import compute_once
 from gridtally.operators import queue as work_queue
 from gridtally.operators.dims import Dimensions
 from gridtally.schemas import READING_FIELDS
+from gridtally.sources.shared import stored_at
 from workload.params import MEDIA, NESTED, NOW, SUBENTRY_CODES, UNKNOWN_CODE, VIRTUALS
+from workload.session import scratch
 
 INT, TEXT, REAL = pa.int32(), pa.string(), pa.float64()
 MEDIA_COLUMNS = {"id": INT, "code": TEXT, "basic_code": TEXT, "table_name": TEXT}
@@ -47,13 +49,15 @@ def _medium_code():
     return code
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw readings, ten text fields and ``event_id`` as arrival position."""
+SERIES = ["x", "event_type", "minute"]
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with the text fields of their readings, all but the registers."""
     k = F.col("k")
-    series = ["x", "event_type", "minute"]
     e = events(spark, sf_dir).withColumn("minute", F.date_trunc("minute", "ts"))
     # Made once and before the shuffle, so that later filters see plain columns.
-    texts = compute_once(e, {
+    return compute_once(e, {
         "building_id": F.concat(F.lit("B"), F.col("user_id") % 5),
         "gate_id": F.concat(F.lit("G"), F.col("user_id") % 2),
         "meter_id": F.concat(F.lit("M"), F.col("x")),
@@ -63,19 +67,35 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .otherwise(F.date_format("ts", "yyyyMMddHHmmss")),
     }).drop("user_id")
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where and when readings came from: those of ``readings``, without the work for registers.
+
+    A reading has a register when all parts of its series are known.
+    """
+    known = [F.col(c).isNotNull() for c in SERIES]
+    return _texts(spark, sf_dir).where(known[0] & known[1] & known[2]).select(
+        "building_id", "gate_id", "ts_str")
+
+
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw readings, ten text fields and ``event_id`` as arrival position."""
+    k = F.col("k")
+    e = events(spark, sf_dir).withColumn("minute", F.date_trunc("minute", "ts"))
     earlier_minutes = (
         Window.partitionBy("x", "event_type").orderBy("minute")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = e.groupBy(*series).agg(F.sum("d").alias("s")).select(
-        *series, F.coalesce(F.sum("s").over(earlier_minutes), F.lit(0)).alias("start")
+    starts = e.groupBy(*SERIES).agg(F.sum("d").alias("s")).select(
+        *SERIES, F.coalesce(F.sum("s").over(earlier_minutes), F.lit(0)).alias("start")
     )
     in_minute = (
-        Window.partitionBy(*series).orderBy("ts", "event_id")
+        Window.partitionBy(*SERIES).orderBy("ts", "event_id")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     total = (F.col("start") + F.sum("d").over(in_minute)).cast("decimal(28,2)")
-    registers = texts.join(starts, series).withColumn("total", total)
+    registers = _texts(spark, sf_dir).join(starts, SERIES).withColumn("total", total)
     register = F.when(F.col("event_type") == "view", F.col("d").cast("decimal(28,2)")).otherwise(
         F.col("total")
     )
@@ -102,8 +122,9 @@ def meter_dimensions(
     """
     if virtuals is None:
         virtuals = [(i, code, 1, kind, top, sub, f) for i, code, kind, top, sub, f in VIRTUALS]
-    e = events(spark, sf_dir)
-    seen = e.select("x", "event_type").distinct()
+    # A few rows that every lookup reads several times: stored, so the events are read once.
+    seen = events(spark, sf_dir).select("x", "event_type").distinct()
+    seen = stored_at(seen, scratch(spark, "seen"))
     xs = seen.select("x").distinct()
     media = literal(spark, MEDIA, {"event_type": TEXT, **MEDIA_COLUMNS})
     b = (F.col("x") % 5).cast("int")
@@ -189,4 +210,4 @@ def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "signup", work_queue.THIRD_PARTY)
         .otherwise(work_queue.DONE).alias("type"),
     ).distinct()
-    return work_queue.data_access_events(readings(spark, sf_dir), NOW).unionByName(reported)
+    return work_queue.data_access_events(arrivals(spark, sf_dir), NOW).unionByName(reported)
