@@ -2,14 +2,14 @@
 
 The vocabulary's pre-tokenizer never joins two words across ASCII white space, so a text's ids are
 those of its words, and a word is encoded once per worker. Within a word it parts Latin letters from a
-tail of ASCII punctuation, so such words go straight to the vocabulary's merges, without the regular
-expressions that the rest goes through. Ids travel as little-endian bytes.
+tail of ASCII punctuation, so both are encoded once, whatever they stand with, and the letters go
+straight to the vocabulary's merges, without the regular expressions that the rest goes through. Words
+are looked up as UTF-8, whose split knows ASCII white space only. Ids travel as little-endian bytes.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import string
 import sys
 from array import array
@@ -22,8 +22,7 @@ WORD_BPE = "word_bpe_49k.json"
 END = 2
 #: Words remembered by a worker: those of the current and of the last so many new ones.
 REMEMBERED = 500_000
-ASCII_WORDS = re.compile(r"[^ \t-\r]+")
-PUNCTUATION = string.punctuation
+PUNCTUATION = string.punctuation.encode()
 #: The byte-level alphabet: printable bytes stand for themselves, the others for what follows 255.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
@@ -36,10 +35,10 @@ def default_tokenizer() -> str:
 class Known(dict):
     """The ids of words as bytes; a word that is not there is encoded."""
 
-    def __init__(self, encoder: Encoder, before: dict[str, bytes]) -> None:
+    def __init__(self, encoder: Encoder, before: dict[bytes, bytes]) -> None:
         self.encoder, self.before = encoder, before
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
         if ids is None:
             ids = self.encoder.word(word, self)
@@ -69,22 +68,23 @@ class Encoder:
             if len(self.known) > REMEMBERED:
                 self.known.before = {}
                 self.known = Known(self, self.known)
-            out.append(b"".join(map(self.known.__getitem__, ASCII_WORDS.findall(text))) + last)
+            out.append(b"".join(map(self.known.__getitem__, text.encode().split())) + last)
         return out
 
-    def word(self, word: str, known: Known) -> bytes:
+    def word(self, word: bytes, known: Known) -> bytes:
         body = word.rstrip(PUNCTUATION)
-        if body.isalpha():
+        letters = body.decode()
+        if letters.isalpha():
             # below U+0250 letters are composed and have one lower case, but for the dotted I
-            if body.isascii():
-                ids = self.packed([t.id for t in self.merge(body.lower())])
-            elif max(body) < "\u0250" and "\u0130" not in body:
-                shown = body.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
-                ids = self.packed([t.id for t in self.merge(shown)])
-            else:
-                return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-            return ids if len(body) == len(word) else ids + known[word[len(body):]]
-        return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            ascii_ = letters.isascii()
+            if ascii_ or (max(letters) < "\u0250" and "\u0130" not in letters):
+                if len(body) < len(word):
+                    return known[body] + known[word[len(body):]]
+                shown = letters.lower()
+                if not ascii_:
+                    shown = shown.encode().decode("latin-1").translate(BYTE_LETTERS)
+                return self.packed([t.id for t in self.merge(shown)])
+        return self.packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
 
     def packed(self, ids: list[int]) -> bytes:
         out = array(self.code, ids)

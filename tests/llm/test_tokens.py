@@ -74,6 +74,20 @@ def test_perfect_hash(n):
     assert (shards.look_up(index, h0, h1, np.arange(n, dtype=np.uint32) + 1)["n"] == 0).all()
 
 
+def test_letters_are_merged_once(plain, monkeypatch):
+    texts = ["w\u00f6rter, w\u00f6rter. (w\u00f6rter) w\u00f6rter!! plain plain, 3.5\u20ac 3.5\u20ac, \u20ac, dogs' don't don't, ",
+             "W\u00f6rter a\x1cb a\x85b, a\xa0b. plain\x0bplain;\x0c w\u00f6rter? e\u0301t\u00e9, \u0130x. <|im_end|> x<|", "", None]
+    encoder, merged = tokens.Encoder(tokens.default_tokenizer()), []
+    merge = encoder.merge
+    monkeypatch.setattr(encoder, "merge", lambda letters: merged.append(letters) or merge(letters))
+    for _ in range(2):
+        for ids, text in zip(encoder.encode(texts), texts, strict=True):
+            assert (np.frombuffer(ids, encoder.dtype) == plain(text)).all()
+    assert merged.count("plain") == merged.count("dogs") == 1
+    # as written in texts that are not ASCII throughout: two spellings, whatever follows them
+    assert len([m for m in merged if m.startswith("w")]) == 2
+
+
 def check(rows, texts, plain, window=4096):
     """Pieces hold every id once; sequences have no gap; what is padded."""
     by_doc, by_sequence = {}, {}
