@@ -5,9 +5,14 @@ most K shingles, so when the shingles' domain is cut into enough partitions, som
 most one difference; it is cut into three parts, and one of the three pairs of parts is the same in both
 sets. Every such pair of parts is a signature, so similar sets share one.
 
-Links are found without writing out the pairs of a group. The smallest document of a signature's group
-is its hub, and every other member is compared with it. Members of a hub's cluster that are then still
-in different components are compared in blocks of bounded size, and only links leave a block.
+Links are found without writing out the pairs of a group. Equal sets are one member. The member of a
+signature's group with the smallest digest is its hub, and every other one is compared with it. Members
+of a hub's cluster that are then still in different components are compared in blocks of bounded size,
+and only links leave a block.
+
+Most documents that share a signature are not similar. Before texts are moved, sketches of a bit or two
+a shingle are compared in the same way; they tell for certain that two sets are too far apart, and only
+documents for which they don't go on.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import WORDS, components, stored
+from gridtally.llm.common import WORDS, components, shuffles_freed, stored
 
 #: Sizes of a band: its largest set has about 1.4 times the shingles of its smallest.
 BAND = 1.4
@@ -31,6 +36,10 @@ BAND = 1.4
 SPARE, SPARE_OF = 4, 8
 #: Signatures of fewer shingles are left out where that is safe.
 LIGHT = 4
+#: Bits of a signature that are kept; where two agree by chance, the sketches tell.
+SIGNATURE = 48
+#: Digests of sets that a task remembers, to sign one of equal texts.
+SIGNED = 100_000
 #: Members of a block.
 BLOCK = 512
 #: Pairs that a task gathers before it removes repeated ones.
@@ -137,10 +146,57 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         light = next(t for t in range(LIGHT, -1, -1) if (least < t).sum() <= spare)
         seed = np.arange(3 * parts, dtype=np.uint64) + np.uint64(band << 40)
         sig = _mixed(_mixed(sums.ravel()) + seed * np.uint64(0x9E3779B97F4A7C15))
-        out.append(sig[count.ravel() >= light])
+        out.append(sig[count.ravel() >= light] >> np.uint64(64 - SIGNATURE))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def digest(shingles: np.ndarray) -> tuple[int, int, int]:
+    """The set's size and two sums that stand for it."""
+    return (len(shingles), int(shingles.sum(dtype=np.uint64).astype(np.int64)),
+            int(_mixed(shingles).sum(dtype=np.uint64).astype(np.int64)))
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """For every remainder of the hashes, whether an odd number of them has it; a bit or two a shingle.
+
+    The sketches of two sets differ in no more bits than the sets do in shingles. The remainders are by
+    a power of two, so a sketch can be folded to half its size.
+    """
+    bits = 64 << max(0, (len(shingles) - 1).bit_length() - 6)
+    times = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((times & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _folded(one: np.ndarray, words: int) -> np.ndarray:
+    return one if len(one) == words else np.bitwise_xor.reduce(one.reshape(-1, words), axis=0)
+
+
+def may_link(sizes: np.ndarray, sketches: np.ndarray, size: int, one: np.ndarray, num: int,
+             den: int) -> np.ndarray:
+    """Which sets of these sizes and sketches (a row each) may be similar to the one; none that is, is
+    missed: sets of sizes a and b are if they differ in (a + b) (den - num) / (den + num) at most."""
+    apart = np.bitwise_count(sketches ^ one).sum(1, dtype=np.int64)
+    return ((np.minimum(sizes, size) * den >= np.maximum(sizes, size) * num)
+            & (apart * (den + num) <= (sizes + size) * (den - num)))
+
+
+def near_others(sizes: np.ndarray, sketches: list[np.ndarray], labels: np.ndarray, num: int,
+                den: int) -> np.ndarray:
+    """Which of the sets may be similar to one that has another label."""
+    near = np.zeros(len(sizes), bool)
+    words = np.array([len(s) for s in sketches])
+    for width in np.unique(words):
+        own = np.flatnonzero(words == width)
+        at = np.flatnonzero((words >= width) & (sizes * num <= sizes[own].max() * den))
+        folded = np.stack([_folded(sketches[i], width) for i in at])
+        for i in own:
+            hit = (may_link(sizes[at], folded, sizes[i], sketches[i], num, den)
+                   & (labels[at] != labels[i]))
+            near[at[hit]] = True
+            near[i] |= hit.any()
+    return near
+
+
 def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     small, large = sorted((len(a), len(b)))
     if not small or small * den < large * num:
@@ -154,50 +210,57 @@ def _sets(k: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for text in batch["text"]:
             s = shingle_set(text, k)
-            out.append((len(s), int(s.sum(dtype=np.uint64).astype(np.int64)),
-                        int(_mixed(s).sum(dtype=np.uint64).astype(np.int64))))
-        n, one, two = zip(*out, strict=True) if out else ((), (), ())
-        yield pd.DataFrame({"id": batch["id"], "n": n, "k1": one, "k2": two})
+            out.append((*digest(s), sketch(s).tobytes()))
+        n, one, two, bits = zip(*out, strict=True) if out else ((), (), (), ())
+        yield pd.DataFrame({"id": batch["id"], "n": n, "k1": one, "k2": two, "sketch": bits})
 
 
 def _signed(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    bands = Bands(num, den)
+    """(sig, key): every set's signatures with its digest's first sum, of equal sets in a task once."""
+    bands, seen = Bands(num, den), set()
     for batch in batches:
-        sigs, ids, rows = [], [], 0
-        for i, text in zip(batch["id"], batch["text"], strict=True):
-            own = signatures(shingle_set(text, k), bands)
+        sigs, keys, rows = [], [], 0
+        for text in batch["text"]:
+            shingles = shingle_set(text, k)
+            this = digest(shingles)
+            if this in seen:
+                continue
+            if len(seen) >= SIGNED:
+                seen.clear()
+            seen.add(this)
+            own = signatures(shingles, bands)
             sigs.append(own)
-            ids.append(np.full(len(own), i, np.int64))
+            keys.append(np.full(len(own), this[1], np.int64))
             rows += len(own)
             if rows > 100_000:
                 yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64),
-                                    "id": np.concatenate(ids)})
-                sigs, ids, rows = [], [], 0
+                                    "key": np.concatenate(keys)})
+                sigs, keys, rows = [], [], 0
         if rows:
             yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64),
-                                "id": np.concatenate(ids)})
+                                "key": np.concatenate(keys)})
 
 
 def _hubs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(hub, id) of rows sorted by (sig, id): only the hub of the group at hand is remembered."""
+    """(hub, key) of rows sorted by (sig, key): only the hub of the group at hand is remembered."""
     last_sig = last_hub = None
     waiting, rows = [], 0
 
     def flush() -> pd.DataFrame:
         pairs = np.unique(np.concatenate(waiting), axis=0) if waiting else np.empty((0, 2), np.int64)
         waiting.clear()
-        return pd.DataFrame({"hub": pairs[:, 0], "id": pairs[:, 1]})
+        return pd.DataFrame({"hub": pairs[:, 0], "key": pairs[:, 1]})
 
     for batch in batches:
-        sig, ids = batch["sig"].to_numpy(), batch["id"].to_numpy()
+        sig, keys = batch["sig"].to_numpy(), batch["key"].to_numpy()
         if not len(sig):
             continue
         new = np.append(True, sig[1:] != sig[:-1])
         new[0] = sig[0] != last_sig
         start = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-        hub = np.where(start >= 0, ids[np.maximum(start, 0)], last_hub if start[0] < 0 else 0)
+        hub = np.where(start >= 0, keys[np.maximum(start, 0)], last_hub if start[0] < 0 else 0)
         last_sig, last_hub = sig[-1], hub[-1]
-        pairs = np.stack([hub, ids], 1)[hub != ids]
+        pairs = np.stack([hub, keys], 1)[hub != keys]
         if len(pairs):
             waiting.append(np.unique(pairs, axis=0))
             rows += len(waiting[-1])
@@ -207,6 +270,30 @@ def _hubs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield flush()
 
 
+def _near_hub(num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows sorted by (hub, block), the hub's own rows first, those that may be similar to the hub,
+    and the hub's where there are any."""
+    unit, hubs, named = None, [], False
+    for batch in batches:
+        found = []
+        for hub, block, i, n, bits in zip(*(batch[c] for c in ("hub", "block", "id", "n", "sketch")),
+                                          strict=True):
+            if (hub, block) != unit:
+                unit, hubs, named = (hub, block), [], False
+            own = np.frombuffer(bits, np.uint64)
+            if i == hub:
+                hubs.append((n, own))
+                continue
+            for size, other in hubs:
+                words = min(len(own), len(other))
+                if may_link(np.array([n]), _folded(own, words)[None], size, _folded(other, words), num,
+                            den)[0]:
+                    found.extend([(hub, block, i)] if named else [(hub, block, hub), (hub, block, i)])
+                    named = True
+                    break
+        yield pd.DataFrame(found, columns=["hub", "block", "id"], dtype=np.int64)
+
+
 def _against_hub(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links (a, b) of rows sorted by (hub, block), the hub's own rows first."""
     unit, hubs = None, []
@@ -250,6 +337,30 @@ def _links_of(sets: list[np.ndarray], labels: np.ndarray, num: int, den: int) ->
     return list(zip(a[one].tolist(), b[one].tolist(), strict=True))
 
 
+def _near_in_blocks(num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows sorted by unit (hub, i, j), those that may be similar to one of another label there."""
+    unit, rows, sizes, sketches = None, [], [], []
+
+    def near() -> list[tuple[int, ...]]:
+        if len(rows) < 2:
+            return []
+        labels = np.array([label for *_, label in rows])
+        return [rows[x] for x in np.flatnonzero(near_others(np.array(sizes), sketches, labels, num, den))]
+
+    for batch in batches:
+        out = []
+        for hub, i, j, doc, label, n, bits in zip(*(batch[c] for c in ("hub", "i", "j", "id", "label",
+                                                                       "n", "sketch")), strict=True):
+            if (hub, i, j) != unit:
+                out.extend(near())
+                unit, rows, sizes, sketches = (hub, i, j), [], [], []
+            rows.append((hub, i, j, doc, label))
+            sizes.append(n)
+            sketches.append(np.frombuffer(bits, np.uint64))
+        yield pd.DataFrame(out, columns=["hub", "i", "j", "id", "label"], dtype=np.int64)
+    yield pd.DataFrame(near(), columns=["hub", "i", "j", "id", "label"], dtype=np.int64)
+
+
 def _in_blocks(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links between labels, of rows sorted by unit (hub, i, j); a unit has two blocks at most."""
     unit, ids, labels, sets = None, [], [], []
@@ -285,40 +396,52 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str
     of all documents share is a small part of all rows; its group is streamed in order and only the
     hub is held. Clusters are cut into blocks. Members of one cluster in different components must be
     compared with each other: that work grows with the square of such a cluster, its rows do not.
+    Disk holds one job's shuffle at a time; the largest are the signatures and the texts by their key.
     """
+    with shuffles_freed(docs.sparkSession):
+        return _similar(docs, k, num, den, key, text)
+
+
+def _similar(docs: DataFrame, k: int, num: int, den: int, key: str, text: str) -> DataFrame:
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     sets = stored(
-        texts.mapInPandas(partial(_sets, k), "id long, n long, k1 long, k2 long"), "sets")
+        texts.mapInPandas(partial(_sets, k), "id long, n long, k1 long, k2 long, sketch binary"),
+        "sets")
     known = sets.where("id IS NOT NULL AND n > 0")
     classes = stored(
         known.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "classes")
     of = known.join(classes, ["n", "k1", "k2"]).select("id", "rep").distinct()
     # ids of one class, and several texts of one id, are linked from the start
     of = stored(of, "reps")
-    # copies have the signatures of the one that stands for them
-    own = texts.join(of.select(F.col("rep").alias("id")).distinct().hint("merge"), "id", "left_semi")
+    # rows carry a key of the set, so copies are one member without a join of texts
     pairs = stored(
-        own.mapInPandas(partial(_signed, k, num, den), "sig long, id long")
-        .repartition("sig").sortWithinPartitions("sig", "id")
-        .mapInPandas(_hubs, "hub long, id long").distinct(), "pairs",
+        texts.where("id IS NOT NULL").mapInPandas(partial(_signed, k, num, den), "sig long, key long")
+        .repartition("sig").sortWithinPartitions("sig", "key")
+        .mapInPandas(_hubs, "hub long, key long").distinct(), "pairs",
     )
-    hub = of.select(F.col("id").alias("hub"), F.col("rep").alias("h"))
+    rep = classes.select(F.col("k1").alias("key"), "rep")
     pairs = stored(
-        pairs.join(hub, "hub").join(of, "id").select(F.col("h").alias("hub"), F.col("rep").alias("id"))
-        .where("hub <> id").distinct(), "members",
+        pairs.join(rep.select(F.col("key").alias("hub"), F.col("rep").alias("h")), "hub").join(rep, "key")
+        .select(F.col("h").alias("hub"), F.col("rep").alias("id")).where("hub <> id").distinct(), "members",
     )
     n_blocks = stored(pairs.groupBy("hub").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "hubs")
     wanted = pairs.select("id").union(pairs.select("hub")).distinct()
-    # texts are joined by merge joins, so that small inputs go the way of large ones
-    theirs = stored(texts.join(wanted.hint("merge"), "id"), "texts")
+    # texts and sketches are joined by merge joins, so that small inputs go the way of large ones
+    sketches = stored(
+        known.select("id", "n", "sketch").join(wanted.hint("merge"), "id", "left_semi"), "sketches")
 
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     rows = pairs.join(n_blocks, "hub").select("hub", block.alias("block"), "id").unionByName(
         n_blocks.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                         F.col("hub").alias("id")))
+    near = stored(
+        rows.hint("merge").join(sketches, "id").select("hub", "block", "id", "n", "sketch")
+        .repartition("hub", "block").sortWithinPartitions("hub", "block", F.col("id") != F.col("hub"))
+        .mapInPandas(partial(_near_hub, num, den), "hub long, block int, id long").distinct(), "near",
+    )
     links = stored(
-        rows.hint("merge").join(theirs, "id").select("hub", "block", "id", "text")
+        near.hint("merge").join(texts, "id").select("hub", "block", "id", "text")
         .repartition("hub", "block").sortWithinPartitions("hub", "block", F.col("id") != F.col("hub"))
         .mapInPandas(partial(_against_hub, k, num, den), "a long, b long"), "links",
     ).unionByName(of.select(F.col("id").alias("a"), F.col("rep").alias("b")))
@@ -335,8 +458,14 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str
         .select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                 "id", "label"), "units",
     )
+    near = stored(
+        units.hint("merge").join(sketches, "id").select("hub", "i", "j", "id", "label", "n", "sketch")
+        .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+        .mapInPandas(partial(_near_in_blocks, num, den), "hub long, i int, j int, id long, label long")
+        .distinct(), "near",
+    )
     more = stored(
-        units.hint("merge").join(theirs, "id").select("hub", "i", "j", "id", "label", "text")
+        near.hint("merge").join(texts, "id").select("hub", "i", "j", "id", "label", "text")
         .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
         .mapInPandas(partial(_in_blocks, k, num, den), "a long, b long"), "more",
     )

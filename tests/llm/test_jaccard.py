@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -101,6 +102,80 @@ def test_similar_sets_share_a_signature(num, den):
             assert np.intersect1d(jaccard.signatures(a, bands), jaccard.signatures(b, bands)).size
 
 
+@pytest.mark.parametrize("num, den", [(85, 100), (8, 10), (1, 2)])
+def test_sketches_miss_no_link(num, den):
+    rng = np.random.default_rng(1)
+    draw = lambda n: np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+    links = far = passed = 0
+    for _ in range(300):
+        base = draw(int(rng.integers(1, 700)))
+        sets = [base, *(np.unique(np.append(rng.permutation(base)[int(rng.integers(0, len(base) // 4 + 1)):],
+                                            draw(int(rng.integers(0, len(base) // 6 + 1))))) for _ in range(3)),
+                draw(len(base)), draw(3 * len(base))]
+        sketches, sizes = [jaccard.sketch(s) for s in sets], np.array([len(s) for s in sets])
+        assert all(len(s) <= max(64, 64 * len(k)) < max(65, 2 * len(s) + 64)
+                   for s, k in zip(sets, sketches, strict=True))
+        labels = rng.integers(0, 3, len(sets))
+        near = jaccard.near_others(sizes, sketches, labels, num, den)
+        for x in range(len(sets)):
+            for y in range(x):
+                words = min(len(sketches[x]), len(sketches[y]))
+                a, b = jaccard._folded(sketches[x], words), jaccard._folded(sketches[y], words)
+                may = jaccard.may_link(sizes[x:x + 1], a[None], sizes[y], b, num, den)[0]
+                if jaccard.linked(sets[x], sets[y], num, den):
+                    links += 1
+                    assert may and (labels[x] == labels[y] or near[x] and near[y])
+                elif x >= 4 and len(base) > 50:
+                    far += 1
+                    passed += may
+                if may and labels[x] != labels[y]:
+                    assert near[x] and near[y]
+    assert links > 300 and far > 1000
+    if num * 10 >= den * 8:  # below, so many may differ that a bit or two a shingle tell less
+        assert passed * 50 <= far
+
+
+def test_texts_of_unlike_documents_stay_where_they_are(spark, monkeypatch):
+    """Signatures of short texts are shared by many; only texts that the sketches leave are compared."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(14, 18))) for _ in range(300)]
+    made, stored = [], jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: made.append((name, out := stored(df, name))) or out)
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0] + " x"])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.similar(docs).collect()}
+    assert got == {i: 0 if i == 300 else i for i in range(301)}
+    rows = [(name, df.count()) for name, df in made if name in ("members", "near")]
+    assert rows[0][0] == "members" and rows[0][1] > 100
+    assert [n for name, n in rows if name == "near"] == [2, 0]
+    assert not any("text" in df.columns for _, df in made)
+
+
+def test_equal_texts_of_many_tasks_are_one_member(spark, monkeypatch):
+    made, stored = [], jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: made.append((name, out := stored(df, name))) or out)
+    text, other = near_copies(7, 1, 90, 0)[0], near_copies(8, 1, 90, 0)[0]
+    docs = spark.createDataFrame([(i, (text, other)[i % 2]) for i in range(40)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.similar(docs.repartition(8)).collect()}
+    assert got == {i: i % 2 for i in range(40)}
+    assert [df.count() for name, df in made if name in ("classes", "pairs")] == [2, 0]
+
+
+def test_shuffle_files_go_with_their_jobs(spark):
+    files = lambda: set(re.findall(
+        r"shuffle_\d+_\d+_\d+\.data",
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs = spark.createDataFrame(list(enumerate(near_copies(6, 40, 150, 9))), "doc_id long, text string")
+    before, setting = files(), spark.conf.get(name)
+    found = jaccard.similar(docs)
+    for _ in range(50):  # they are removed in the background
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and spark.conf.get(name) == setting
+    assert found.count() == 41
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
