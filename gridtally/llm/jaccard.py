@@ -17,13 +17,12 @@ documents for which they don't go on.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +44,16 @@ BLOCK = 512
 #: Pairs that a task gathers before it removes repeated ones.
 GATHERED = 1_000_000
 
-UPPER = re.compile("[A-Z]+")
+#: Bytes of texts whose words are hashed at once; a longer text is taken alone, in pieces.
+CHUNK = 1 << 17
+#: Places in a word for whose bytes the numbers lie in a table.
+PLACES = 64
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Which numbers stand for bytes; the links are the same with any.
+SEED = np.uint64(10)
+#: Of every byte of UTF-8, whether it is part of a word, and what it is in lower case; only A-Z change.
+SOLID = np.array([WORDS.match(chr(c)) is not None for c in range(256)])
+LOWER = np.array([ord(chr(c).lower()) if c < 128 else c for c in range(256)], np.uint8)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -56,40 +64,77 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Hashes(dict):
-    """Hashes of words, remembered by a worker up to a number."""
+def _numbers(codes: np.ndarray) -> np.ndarray:
+    """A random number for every place * 256 + byte."""
+    return _mixed((codes.astype(np.uint64) + SEED) * GOLDEN)
 
-    MOST = 400_000
 
-    def __missing__(self, word: str) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
+NUMBERS = _numbers(np.arange(PLACES * 256))
 
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self) > self.MOST:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of texts that lie side by side in UTF-8, and how many of the words
+    come before every bound of a text.
 
-HASHES = Hashes()
-
-
-def lower_ascii(text: str) -> str:
-    return text.lower() if text.isascii() else UPPER.sub(lambda m: m[0].lower(), text)
-
-
-def shingle_set(text: str | None, k: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct k-word shingles; fewer words are one shingle."""
-    words = WORDS.findall(lower_ascii(text or ""))
-    if not words:
-        return np.empty(0, np.uint64)
-    h = HASHES.of(words)
-    width = min(k, len(h))
-    n = len(h) - width + 1
-    out = np.full(n, width, np.uint64)
-    for i in range(width):  # by Horner's rule: a word counts by its place
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n]
-    return np.unique(_mixed(out))
+    A word's hash is the mixed sum of numbers that stand for its bytes in their places.
+    """
+    solid = SOLID.take(data)
+    starts = np.append(True, ~solid)
+    starts[bounds] = True
+    starts = starts[:-1] & solid
+    first, where = np.flatnonzero(starts), np.flatnonzero(solid)
+    if not len(first):
+        return np.empty(0, np.uint64), np.zeros(len(bounds), np.int64)
+    at = np.flatnonzero(starts.take(where))
+    codes = where - np.repeat(first, np.diff(at, append=len(where)))
+    codes <<= 8
+    codes += LOWER.take(data.take(where))
+    numbers = NUMBERS.take(codes, mode="clip")
+    far = np.flatnonzero(codes >= len(NUMBERS))
+    if len(far):
+        numbers[far] = _numbers(codes[far])
+    return _mixed(np.add.reduceat(numbers, at)), np.searchsorted(first, bounds)
+
+
+def _hashes_of_long(data: np.ndarray) -> np.ndarray:
+    """Hashes of one text's words, by pieces that begin at white space."""
+    gaps = np.flatnonzero(~SOLID.take(data))
+    cuts = np.unique(np.searchsorted(gaps, np.arange(CHUNK, len(data), CHUNK)))
+    pieces = np.split(data, gaps[cuts[cuts < len(gaps)]])
+    return np.concatenate([word_hashes(x, np.array([0, len(x)]))[0] for x in pieces])
+
+
+def _shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of so many words, by Horner's rule: a word counts by its place."""
+    out = np.full(len(words) - width + 1, width, np.uint64)
+    for i in range(width):
+        out *= GOLDEN
+        out += words[i:i + len(out)]
+    return _mixed(out)
+
+
+def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
+    """Every text's sorted 64-bit hashes of the distinct k-word shingles; fewer words are one shingle."""
+    texts = texts.fill_null("").cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    i = 0
+    while i < len(texts):
+        end = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK, "right")) - 1)
+        part = data[offsets[i]:offsets[end]]
+        if len(part) > CHUNK:
+            words = _hashes_of_long(part)
+            bounds = np.array([0, len(words)])
+        else:
+            words, bounds = word_hashes(part, offsets[i:end + 1] - offsets[i])
+        shingles = _shingles(words, k) if len(words) >= k else None
+        bounds = bounds.tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            out = shingles[a:b - k + 1] if b - a >= k else _shingles(words[a:b], b - a)[:b - a]
+            out.sort()
+            yield out[np.append(True, out[1:] != out[:-1])[:len(out)]]
+        i = end
 
 
 class Bands:
@@ -103,8 +148,9 @@ class Bands:
     def __init__(self, num: int, den: int) -> None:
         self.num, self.den = num, den
         self.low, self.high = [1], [1]
+        self.of = cache(self._of)
 
-    def of(self, size: int) -> list[tuple[int, int]]:
+    def _of(self, size: int) -> list[tuple[int, int]]:
         while self.low[-1] * self.num <= size * self.den:  # past all bands that could take it
             low = self.high[-1] + 1
             self.low.append(low)
@@ -129,25 +175,27 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     similar sets, take the one with the larger t: one of the agreeing partitions has none that it
     leaves out, and the other set leaves out even less.
     """
-    out = []
+    sums, seeds = [], []
     where = _mixed(shingles ^ np.uint64(0xD6E8FEB86659FD93))
+    high = where >> np.uint64(32)
     for band, most in bands.of(len(shingles)):
         spare = SPARE + (most // 2 + 1) // SPARE_OF
         parts = most // 2 + 1 + spare
-        cell = ((where >> np.uint64(8)) % np.uint64(parts) * np.uint64(3)
-                + (where & np.uint64(255)) % np.uint64(3)).astype(np.int64)
+        cell = (high * np.uint64(3 * parts) >> np.uint64(32)).view(np.int64)
         count = np.bincount(cell, minlength=3 * parts).reshape(parts, 3)
-        sums = np.zeros(3 * parts, np.uint64)
-        np.add.at(sums, cell, where)
-        sums = sums.reshape(parts, 3)
+        own = np.zeros(3 * parts, np.uint64)
+        np.add.at(own, cell, where)
+        own = own.reshape(parts, 3)
         count = count.sum(1, keepdims=True) - count
-        sums = sums.sum(1, keepdims=True, dtype=np.uint64) - sums
-        least = count.min(1)
-        light = next(t for t in range(LIGHT, -1, -1) if (least < t).sum() <= spare)
-        seed = np.arange(3 * parts, dtype=np.uint64) + np.uint64(band << 40)
-        sig = _mixed(_mixed(sums.ravel()) + seed * np.uint64(0x9E3779B97F4A7C15))
-        out.append(sig[count.ravel() >= light] >> np.uint64(64 - SIGNATURE))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        own = own.sum(1, keepdims=True, dtype=np.uint64) - own
+        light = min(LIGHT, np.partition(count.min(1), spare)[spare])
+        kept = np.flatnonzero(count.ravel() >= light)
+        sums.append(own.ravel()[kept])
+        seeds.append(kept.view(np.uint64) + np.uint64(band << 40))
+    if not sums:
+        return np.empty(0, np.uint64)
+    sig = _mixed(_mixed(np.concatenate(sums)) + np.concatenate(seeds) * GOLDEN)
+    return sig >> np.uint64(64 - SIGNATURE)
 
 
 def digest(shingles: np.ndarray) -> tuple[int, int, int]:
@@ -205,23 +253,24 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return both * den >= (len(a) + len(b) - both) * num
 
 
-def _sets(k: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batch(**columns: np.ndarray | pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _sets(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for text in batch["text"]:
-            s = shingle_set(text, k)
-            out.append((*digest(s), sketch(s).tobytes()))
+        out = [(*digest(s), sketch(s).tobytes()) for s in shingle_sets(batch["text"], k)]
         n, one, two, bits = zip(*out, strict=True) if out else ((), (), (), ())
-        yield pd.DataFrame({"id": batch["id"], "n": n, "k1": one, "k2": two, "sketch": bits})
+        yield _batch(id=batch["id"], n=pa.array(n, pa.int64()), k1=pa.array(one, pa.int64()),
+                     k2=pa.array(two, pa.int64()), sketch=pa.array(bits, pa.binary()))
 
 
-def _signed(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signed(k: int, num: int, den: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(sig, key): every set's signatures with its digest's first sum, of equal sets in a task once."""
     bands, seen = Bands(num, den), set()
     for batch in batches:
         sigs, keys, rows = [], [], 0
-        for text in batch["text"]:
-            shingles = shingle_set(text, k)
+        for shingles in shingle_sets(batch["text"], k):
             this = digest(shingles)
             if this in seen:
                 continue
@@ -233,23 +282,26 @@ def _signed(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iter
             keys.append(np.full(len(own), this[1], np.int64))
             rows += len(own)
             if rows > 100_000:
-                yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64),
-                                    "key": np.concatenate(keys)})
+                yield _batch(sig=np.concatenate(sigs).view(np.int64), key=np.concatenate(keys))
                 sigs, keys, rows = [], [], 0
         if rows:
-            yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64),
-                                "key": np.concatenate(keys)})
+            yield _batch(sig=np.concatenate(sigs).view(np.int64), key=np.concatenate(keys))
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return _batch(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
 
 
-def _hubs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hub, key) of rows sorted by (sig, key): only the hub of the group at hand is remembered."""
     last_sig = last_hub = None
     waiting, rows = [], 0
 
-    def flush() -> pd.DataFrame:
+    def flush() -> pa.RecordBatch:
         pairs = np.unique(np.concatenate(waiting), axis=0) if waiting else np.empty((0, 2), np.int64)
         waiting.clear()
-        return pd.DataFrame({"hub": pairs[:, 0], "key": pairs[:, 1]})
+        return _batch(hub=pairs[:, 0], key=pairs[:, 1])
 
     for batch in batches:
         sig, keys = batch["sig"].to_numpy(), batch["key"].to_numpy()
@@ -294,21 +346,21 @@ def _near_hub(num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[p
         yield pd.DataFrame(found, columns=["hub", "block", "id"], dtype=np.int64)
 
 
-def _against_hub(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _against_hub(k: int, num: int, den: int,
+                 batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of rows sorted by (hub, block), the hub's own rows first."""
     unit, hubs = None, []
     for batch in batches:
         found = []
-        for hub, block, i, text in zip(batch["hub"], batch["block"], batch["id"], batch["text"],
-                                       strict=True):
+        for hub, block, i, own in zip(*(batch[c].to_pylist() for c in ("hub", "block", "id")),
+                                      shingle_sets(batch["text"], k), strict=True):
             if (hub, block) != unit:
                 unit, hubs = (hub, block), []
-            own = shingle_set(text, k)
             if i == hub:
                 hubs.append(own)
             elif any(linked(own, h, num, den) for h in hubs):
                 found.append((i, hub))
-        yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+        yield _pairs(found)
 
 
 def _links_of(sets: list[np.ndarray], labels: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
@@ -361,7 +413,8 @@ def _near_in_blocks(num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iter
     yield pd.DataFrame(near(), columns=["hub", "i", "j", "id", "label"], dtype=np.int64)
 
 
-def _in_blocks(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _in_blocks(k: int, num: int, den: int,
+               batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between labels, of rows sorted by unit (hub, i, j); a unit has two blocks at most."""
     unit, ids, labels, sets = None, [], [], []
 
@@ -371,16 +424,17 @@ def _in_blocks(k: int, num: int, den: int, batches: Iterator[pd.DataFrame]) -> I
 
     for batch in batches:
         out = []
-        for hub, i, j, doc, label, text in zip(*(batch[c] for c in ("hub", "i", "j", "id", "label",
-                                                                    "text")), strict=True):
+        for hub, i, j, doc, label, own in zip(*(batch[c].to_pylist() for c in ("hub", "i", "j", "id",
+                                                                               "label")),
+                                              shingle_sets(batch["text"], k), strict=True):
             if (hub, i, j) != unit:
                 out.extend(links())
                 unit, ids, labels, sets = (hub, i, j), [], [], []
             ids.append(doc)
             labels.append(label)
-            sets.append(shingle_set(text, k))
-        yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
-    yield pd.DataFrame(links(), columns=["a", "b"], dtype=np.int64)
+            sets.append(own)
+        yield _pairs(out)
+    yield _pairs(links())
 
 
 def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "doc_id",
@@ -405,7 +459,7 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str
 def _similar(docs: DataFrame, k: int, num: int, den: int, key: str, text: str) -> DataFrame:
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     sets = stored(
-        texts.mapInPandas(partial(_sets, k), "id long, n long, k1 long, k2 long, sketch binary"),
+        texts.mapInArrow(partial(_sets, k), "id long, n long, k1 long, k2 long, sketch binary"),
         "sets")
     known = sets.where("id IS NOT NULL AND n > 0")
     classes = stored(
@@ -415,9 +469,9 @@ def _similar(docs: DataFrame, k: int, num: int, den: int, key: str, text: str) -
     of = stored(of, "reps")
     # rows carry a key of the set, so copies are one member without a join of texts
     pairs = stored(
-        texts.where("id IS NOT NULL").mapInPandas(partial(_signed, k, num, den), "sig long, key long")
+        texts.where("id IS NOT NULL").mapInArrow(partial(_signed, k, num, den), "sig long, key long")
         .repartition("sig").sortWithinPartitions("sig", "key")
-        .mapInPandas(_hubs, "hub long, key long").distinct(), "pairs",
+        .mapInArrow(_hubs, "hub long, key long").distinct(), "pairs",
     )
     rep = classes.select(F.col("k1").alias("key"), "rep")
     pairs = stored(
@@ -443,7 +497,7 @@ def _similar(docs: DataFrame, k: int, num: int, den: int, key: str, text: str) -
     links = stored(
         near.hint("merge").join(texts, "id").select("hub", "block", "id", "text")
         .repartition("hub", "block").sortWithinPartitions("hub", "block", F.col("id") != F.col("hub"))
-        .mapInPandas(partial(_against_hub, k, num, den), "a long, b long"), "links",
+        .mapInArrow(partial(_against_hub, k, num, den), "a long, b long"), "links",
     ).unionByName(of.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     label = components(links)
     members = pairs.join(label, "id", "left").select(
@@ -467,7 +521,7 @@ def _similar(docs: DataFrame, k: int, num: int, den: int, key: str, text: str) -
     more = stored(
         near.hint("merge").join(texts, "id").select("hub", "i", "j", "id", "label", "text")
         .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-        .mapInPandas(partial(_in_blocks, k, num, den), "a long, b long"), "more",
+        .mapInArrow(partial(_in_blocks, k, num, den), "a long, b long"), "more",
     )
     final = stored(components(links.unionByName(more)), "components")
     return sets.join(final, "id", "left").select(
